@@ -142,7 +142,7 @@ def calibration_factor(
     # At most one row per interval between candidates, so the array is short.
     sums = intervals.agg(F.collect_list(F.struct("y", "p")).alias("sums"), F.sum("y").alias("y"), F.sum("p").alias("p"))
     candidates = bounded.select(
-        *named, F.explode(F.array_sort(F.array_distinct(F.concat(grid, extra)))).alias("factor")
+        *named, F.explode(F.array_distinct(F.concat(grid, extra))).alias("factor")
     ).withColumn("all", sums.select(F.struct("sums", "y", "p")).scalar())
     factor = F.col("factor")
     absolute = F.aggregate(

@@ -5,17 +5,45 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from restock import schema as S
 from restock.operators.evaluation import predict_hurdle
-from restock.operators.features import null_fill
+from restock.operators.features import feature_columns, null_fill
+
+
+# Inputs of the log-link regressions. Means per store and product stay out: where such a mean is 0
+# every target is 0 too, and the coefficient then runs away instead of converging.
+LOG_LINK_FEATURES = [
+    "is_business_hour_6_22",
+    "is_weekend",
+    "holiday_flag",
+    "discount_rate",
+    "precpt",
+    "avg_temperature",
+    "avg_humidity",
+    "avg_wind_level",
+    *S.CALENDAR_FEATURES,
+    "is_promo_or_discount",
+    "temperature_humidity_index",
+    "product_hour_mean",
+    "category_hour_mean",
+    "product_dow_mean",
+    "category_dow_mean",
+    "product_mean",
+    "category_mean",
+    "global_hour_mean",
+    "global_dow_mean",
+    "product_stockout_rate",
+    "category_stockout_rate",
+]
 
 
 @dataclass(frozen=True)
@@ -48,7 +76,7 @@ class DemandModel:
         rows = _matrix(features, self.columns)
         if self.strategy == "hurdle":
             rows = self.stages["amount"].transform(self.stages["classifier"].transform(rows))
-            probability = vector_to_array("_probability")[1]
+            probability = vector_to_array("probability")[1]
             prior = F.col("_row.baseline_demand_prior") if "baseline_demand_prior" in features.columns else None
             value = predict_hurdle(probability, F.col("_log_amount"), prior, self.prior_weight)
         else:
@@ -82,8 +110,14 @@ def _matrix(features: DataFrame, columns: list[str]) -> DataFrame:
     return filled.select("_row", *[F.col(name).alias(f"_x_{name}") for name in columns])
 
 
-def _assembler(columns: list[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=[f"_x_{name}" for name in columns], outputCol="_features")
+def _inputs(train: DataFrame, columns: list[str], labels: dict[str, Column]) -> DataFrame:
+    """The input vector's columns and the labels, nothing else."""
+    labelled = null_fill(train.withColumns(labels), columns)
+    return labelled.select(*labels, *[F.col(name).alias(f"_x_{name}") for name in columns])
+
+
+def _assembler(columns: list[str], prefix: str = "_x_") -> VectorAssembler:
+    return VectorAssembler(inputCols=[f"{prefix}{name}" for name in columns], outputCol="_features")
 
 
 def _boosted(options: TrainingOptions) -> dict:
@@ -98,13 +132,17 @@ def _boosted(options: TrainingOptions) -> dict:
     }
 
 
-def fit_direct(train: DataFrame, columns: list[str], options: TrainingOptions = TrainingOptions()) -> DemandModel:
+def fit_direct(
+    train: DataFrame, columns: list[str] | None = None, options: TrainingOptions = TrainingOptions()
+) -> DemandModel:
     """One regressor on ``demand_target``: boosted trees for squared error, else a log-link GLM.
 
     The GLM stops without a word when it has not converged, and its predictions are then useless,
     so that is an error here.
     """
-    rows = _matrix(train, columns).withColumn("_label", F.col("_row.demand_target"))
+    if columns is None:
+        columns = feature_columns() if options.objective == "squared" else LOG_LINK_FEATURES
+    rows = _inputs(train, columns, {"_label": F.col("demand_target")})
     if options.objective == "squared":
         regressor = GBTRegressor(labelCol="_label", predictionCol="_amount", **_boosted(options))
         fitted = Pipeline(stages=[_assembler(columns), regressor]).fit(rows)
@@ -122,11 +160,20 @@ def fit_direct(train: DataFrame, columns: list[str], options: TrainingOptions =
         regParam=0.01,
         **family,
     )
+    # Amounts enter on the scale of the link.
+    logs = ", ".join(f"signum(_x_{name}) * log1p(abs(_x_{name})) AS _log_{name}" for name in columns)
+    logged = SQLTransformer(statement=f"SELECT *, {logs} FROM __THIS__")
     scaler = StandardScaler(inputCol="_features", outputCol="_scaled", withMean=True, withStd=True)
-    fitted = Pipeline(stages=[_assembler(columns), scaler, regressor]).fit(rows)
-    if fitted.stages[-1].summary.numIterations >= options.max_iterations:
+    inputs = Pipeline(stages=[logged, _assembler(columns, "_log_"), scaler]).fit(rows)
+    # The regression passes over its rows once per iteration.
+    vectors = inputs.transform(rows).select("_scaled", "_label").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        regression = regressor.fit(vectors)
+    finally:
+        vectors.unpersist()
+    if regression.summary.numIterations >= options.max_iterations:
         raise RuntimeError("the regression did not converge; raise max_iterations")
-    return DemandModel("direct", columns, {"regressor": fitted})
+    return DemandModel("direct", columns, {"regressor": PipelineModel(stages=[*inputs.stages, regression])})
 
 
 def fit_hurdle(train: DataFrame, columns: list[str], options: TrainingOptions = TrainingOptions()) -> DemandModel:
@@ -138,22 +185,18 @@ def fit_hurdle(train: DataFrame, columns: list[str], options: TrainingOptions =
     positive = F.col("demand_target") > options.positive_threshold
     counts = train.agg(F.count_if(positive).alias("positive"), F.count_if(~positive).alias("zero")).first()
     if counts.positive == 0 or counts.zero == 0:
-        return fit_direct(train, columns, options)
+        return fit_direct(train, columns if options.objective == "squared" else None, options)
     weight = max(counts.zero / counts.positive, 1.0)
-    label = F.col("_row.demand_target") > options.positive_threshold
-    rows = _matrix(train, columns).withColumns(
-        {
-            "_sold": label.cast("double"),
-            "_weight": F.when(label, weight).otherwise(1.0),
-            "_log_target": F.log1p(F.col("_row.demand_target")),
-        }
-    )
+    labels = {
+        "_sold": positive.cast("double"),
+        "_weight": F.when(positive, weight).otherwise(1.0),
+        "_log_target": F.log1p("demand_target"),
+    }
+    rows = _inputs(train, columns, labels)
     classifier = GBTClassifier(
         labelCol="_sold",
         weightCol="_weight",
         predictionCol="_class",
-        probabilityCol="_probability",
-        rawPredictionCol="_raw",
         **_boosted(options),
     )
     amount = GBTRegressor(labelCol="_log_target", predictionCol="_log_amount", **_boosted(options))

@@ -22,26 +22,26 @@ TOP_ROWS_LIMIT = 100_000
 
 def _placed(df: DataFrame, order: list[Column]) -> DataFrame:
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = materialise(ranged.withColumn("_slot", F.monotonically_increasing_id()))
-    return placed.withColumn("_part", F.shiftright("_slot", _PLACE_BITS))
+    placed = materialise(ranged.withColumn("_range_slot", F.monotonically_increasing_id()))
+    return placed.withColumn("_range", F.shiftright("_range_slot", _PLACE_BITS))
 
 
 def _offsets(placed: DataFrame, measure: Column) -> DataFrame:
     """Total of the measure over all earlier partitions: one row per partition."""
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    totals = placed.groupBy("_part").agg(measure.alias("_total"))
-    before = F.coalesce(F.sum("_total").over(earlier), F.lit(0))
-    return F.broadcast(totals.select("_part", before.alias("_before")))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy("_range").agg(measure.alias("_range_total"))
+    before = F.coalesce(F.sum("_range_total").over(earlier), F.lit(0))
+    return F.broadcast(totals.select("_range", before.alias("_range_before")))
 
 
 def ordered_position(df: DataFrame, order: list, name: str = "position") -> DataFrame:
     """Add the 0-based position of every row; the order must be total."""
     placed = _placed(df, _columns(order))
-    place = F.col("_slot").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+    place = F.col("_range_slot").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
     return (
-        placed.join(_offsets(placed, F.count(F.lit(1))), "_part")
-        .withColumn(name, place + F.col("_before"))
-        .drop("_slot", "_part", "_before")
+        placed.join(_offsets(placed, F.count(F.lit(1))), "_range")
+        .withColumn(name, place + F.col("_range_before"))
+        .drop("_range_slot", "_range", "_range_before")
     )
 
 
@@ -49,12 +49,12 @@ def running_total(df: DataFrame, order: list, value: str, name: str) -> DataFram
     """Add the sum of ``value`` over this and all earlier rows of the total order."""
     placed = _placed(df, _columns(order))
     inside = (
-        Window.partitionBy("_part").orderBy("_slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy("_range").orderBy("_range_slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        placed.join(_offsets(placed, F.sum(value)), "_part")
-        .withColumn(name, F.sum(value).over(inside) + F.col("_before"))
-        .drop("_slot", "_part", "_before")
+        placed.join(_offsets(placed, F.sum(value)), "_range")
+        .withColumn(name, F.sum(value).over(inside) + F.col("_range_before"))
+        .drop("_range_slot", "_range", "_range_before")
     )
 
 

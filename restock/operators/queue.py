@@ -39,9 +39,13 @@ QUEUE_COLUMNS = [
 
 
 def _priority() -> list[Column]:
-    """Most urgent first; the row's own key settles ties."""
-    measures = [F.desc("restock_urgency_score"), F.desc("estimated_lost_sales"), F.desc("stockout_hours_6_22")]
-    return measures + [F.col("store_id"), F.col("product_id"), F.col("full_date")]
+    """Most urgent first; the row's own key settles ties.
+
+    Scores come from sums, whose last bits depend on the order of the shuffle. Rounding them here
+    keeps equal rows equal, so the queue is the same on every run.
+    """
+    scores_first = [F.round(name, 9).desc() for name in ("restock_urgency_score", "estimated_lost_sales")]
+    return scores_first + [F.desc("stockout_hours_6_22"), F.col("store_id"), F.col("product_id"), F.col("full_date")]
 
 
 def not_full_stockout(decisions: DataFrame) -> DataFrame:
