@@ -86,7 +86,7 @@ def comparison_baselines(hourly: DataFrame) -> DataFrame:
     usable = (F.col("source_split") == "train") & (F.col("stockout_flag") == 0)
     sold = F.when(usable, F.col("units_ordered"))
     finest = BASELINES["store_product_hour_baseline"]
-    cells = hourly.groupBy(*finest).agg(F.sum(sold).alias("_sum"), F.count(sold).alias("_count"))
+    cells = materialise(hourly.groupBy(*finest).agg(F.sum(sold).alias("_sum"), F.count(sold).alias("_count")))
     result = cells.withColumn("store_product_hour_baseline", F.try_divide("_sum", "_count"))
     for name, keys in BASELINES.items():
         if keys != finest:

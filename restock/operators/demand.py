@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from restock import schema as S
 from restock.functions.scores import bias_rate, lookup, stockout_rate, urgency
+from restock.session import materialise
 
 # From the most specific to the most general: average -> grouping keys.
 BASELINE_LEVELS = {
@@ -21,13 +22,13 @@ BASELINE_LEVELS = {
 def baseline_cells(hourly: DataFrame, products: DataFrame) -> DataFrame:
     """The five non-stockout averages for every (store, product, hour).
 
-    The fact is aggregated once, with map-side combine, to one row per store, product and hour;
-    coarser averages are rolled up from those sums and counts. No group of fact rows ever has to
-    sit in one task, however many rows an hour or a product has.
+    The fact is aggregated once, with map-side combine, to one row per store, product and hour, and
+    written; coarser averages are rolled up from those sums and counts. No group of fact rows ever
+    has to sit in one task, however many rows an hour or a product has.
     """
     finest = BASELINE_LEVELS["store_product_hour_avg"]
     sold = F.when(~F.col("stockout_flag"), F.col("observed_sales_amount"))
-    cells = (
+    cells = materialise(
         hourly.groupBy(*finest)
         .agg(F.sum(sold).alias("_sum"), F.count(sold).alias("_count"))
         .join(products.select("product_key", "first_category_id"), "product_key")
@@ -39,7 +40,7 @@ def baseline_cells(hourly: DataFrame, products: DataFrame) -> DataFrame:
         else:
             total = cells.groupBy(*keys).agg(F.try_divide(F.sum("_sum"), F.sum("_count")).alias(name))
             result = result.join(total, keys, "left")
-    return result.select(*finest, *BASELINE_LEVELS)
+    return materialise(result.select(*finest, *BASELINE_LEVELS))
 
 
 def baseline_averages(hourly: DataFrame, products: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from restock import schema as S
 from restock.operators.ordering import ordered_position
+from restock.session import materialise
 
 FIT, CALIBRATION, EVAL = "fit", "calibration", "eval"
 ROW_ORDER = ["full_date", "time_key", "store_id", "product_id"]
@@ -134,22 +135,32 @@ def _per_hour(features: DataFrame, owner: str) -> DataFrame:
     )
 
 
-def store_traffic(features: DataFrame) -> DataFrame:
-    """The store's sales in its previous hour, 0 before the first."""
+_STORE_HOUR = ["source_split", "store_id", "date_key", "time_key"]
+_CATEGORY_HOUR = ["source_split", "first_category_id", "date_key", "time_key"]
+
+
+def store_history(features: DataFrame) -> DataFrame:
+    """The store's sales in its previous hour, 0 before the first: one row per store and hour."""
     order = Window.partitionBy("source_split", "store_id").orderBy("date_key", "time_key")
-    hourly = _per_hour(features, "store_id").withColumn(
-        "store_traffic_lag_1h", F.coalesce(F.lag("_sales", 1).over(order), F.lit(0.0))
-    )
-    return features.join(hourly.drop("_sales"), ["source_split", "store_id", "date_key", "time_key"], "left")
+    traffic = F.coalesce(F.lag("_sales", 1).over(order), F.lit(0.0))
+    return _per_hour(features, "store_id").select(*_STORE_HOUR, traffic.alias("store_traffic_lag_1h"))
 
 
-def category_momentum(features: DataFrame, rows: int = 24) -> DataFrame:
-    """The category's sales over its 24 hours before this one."""
+def category_history(features: DataFrame, rows: int = 24) -> DataFrame:
+    """The category's sales over its 24 hours before this one: one row per category and hour."""
     order = Window.partitionBy("source_split", "first_category_id").orderBy("date_key", "time_key")
-    hourly = _per_hour(features, "first_category_id").withColumn(
-        f"category_momentum_{rows}h", F.coalesce(F.sum("_sales").over(order.rowsBetween(-rows, -1)), F.lit(0.0))
+    momentum = F.coalesce(F.sum("_sales").over(order.rowsBetween(-rows, -1)), F.lit(0.0))
+    return _per_hour(features, "first_category_id").select(
+        *_CATEGORY_HOUR, momentum.alias(f"category_momentum_{rows}h")
     )
-    return features.join(hourly.drop("_sales"), ["source_split", "first_category_id", "date_key", "time_key"], "left")
+
+
+def store_traffic(features: DataFrame) -> DataFrame:
+    return features.join(store_history(features), _STORE_HOUR, "left")
+
+
+def category_momentum(features: DataFrame) -> DataFrame:
+    return features.join(category_history(features), _CATEGORY_HOUR, "left")
 
 
 # Cells from which every prior is rolled up.
@@ -157,16 +168,21 @@ _CELL = ["store_id", "product_id", "first_category_id", "hour_of_day", "day_of_w
 
 
 def _cells(features: DataFrame) -> DataFrame:
-    """Sums and counts of the fit rows for every combination that occurs in any row."""
+    """Sums and counts of the fit rows for every combination that occurs in any row.
+
+    Written once: every prior is rolled up from this table, so the features are scanned once for
+    all of them, and the joins are planned with its real size.
+    """
     fit = F.col("part") == FIT
     sold = F.when(fit & F.col("is_trainable_demand_observation"), F.col("observed_sales_amount"))
     flagged = F.when(fit, F.col("stockout_flag").cast("int"))
-    return features.groupBy(*_CELL).agg(
+    cells = features.groupBy(*_CELL).agg(
         F.sum(sold).alias("_sum"),
         F.count(sold).alias("_count"),
         F.sum(flagged).alias("_flagged"),
         F.count(flagged).alias("_rows"),
     )
+    return materialise(cells)
 
 
 def _mean_table(cells: DataFrame, group: str, keys: list[str]) -> DataFrame:
@@ -192,43 +208,42 @@ def _attach(features: DataFrame, cells: DataFrame, tables: list[tuple[list[str],
     anchor = cells.select(*anchor_keys).distinct()
     for names, table in tables:
         anchor = anchor.join(table, names, "left")
-    return features.join(anchor, anchor_keys, "left")
+    return features.join(materialise(anchor), anchor_keys, "left")
 
 
-def demand_priors(features: DataFrame) -> DataFrame:
-    """Mean demand and log count of ten groupings of the trainable fit rows."""
-    cells = _cells(features)
+def _priors(features: DataFrame, cells: DataFrame, means: bool, rates: bool) -> DataFrame:
     by_hour, by_weekday = [], []
-    for group, keys in S.PRIOR_GROUPS.items():
-        target = by_weekday if "day_of_week" in keys else by_hour
-        target.append((keys, _mean_table(cells, group, keys)))
+    if rates:
+        by_hour += [(keys, _rate_table(cells, group, keys)) for group, keys in S.STOCKOUT_GROUPS.items()]
+    if means:
+        for group, keys in S.PRIOR_GROUPS.items():
+            target = by_weekday if "day_of_week" in keys else by_hour
+            target.append((keys, _mean_table(cells, group, keys)))
     with_hours = _attach(features, cells, by_hour, "hour_of_day")
-    return _attach(with_hours, cells, by_weekday, "day_of_week")
+    return _attach(with_hours, cells, by_weekday, "day_of_week") if by_weekday else with_hours
+
+
+def demand_priors(features: DataFrame) -> DataFrame:
+    """Mean demand and log count of ten groupings of the trainable fit rows."""
+    return _priors(features, _cells(features), means=True, rates=False)
 
 
 def stockout_priors(features: DataFrame) -> DataFrame:
     """Share of stockout hours of three groupings, over all fit rows."""
-    cells = _cells(features)
-    tables = [(keys, _rate_table(cells, group, keys)) for group, keys in S.STOCKOUT_GROUPS.items()]
-    return _attach(features, cells, tables, "hour_of_day")
-
-
-def all_priors(features: DataFrame) -> DataFrame:
-    """Both kinds of prior from one aggregation, joined in two steps."""
-    cells = _cells(features)
-    by_hour = [(keys, _rate_table(cells, group, keys)) for group, keys in S.STOCKOUT_GROUPS.items()]
-    by_weekday = []
-    for group, keys in S.PRIOR_GROUPS.items():
-        target = by_weekday if "day_of_week" in keys else by_hour
-        target.append((keys, _mean_table(cells, group, keys)))
-    with_hours = _attach(features, cells, by_hour, "hour_of_day")
-    return _attach(with_hours, cells, by_weekday, "day_of_week")
+    return _priors(features, _cells(features), means=False, rates=True)
 
 
 def baseline_prior(with_priors: DataFrame) -> DataFrame:
     """The first mean that exists, else the mean of all trainable fit rows, else 0."""
+    return _with_baseline(with_priors, _overall_mean(with_priors))
+
+
+def _overall_mean(rows: DataFrame) -> Column:
     usable = (F.col("part") == FIT) & F.col("is_trainable_demand_observation")
-    overall = with_priors.filter(usable).agg(F.avg("observed_sales_amount")).scalar()
+    return rows.filter(usable).agg(F.avg("observed_sales_amount")).scalar()
+
+
+def _with_baseline(with_priors: DataFrame, overall: Column) -> DataFrame:
     means = [F.col(f"{group}_mean") for group in S.PRIOR_GROUPS]
     return with_priors.withColumn("baseline_demand_prior", F.coalesce(*means, overall, F.lit(0.0)))
 
@@ -256,9 +271,16 @@ def prepare_features(features: DataFrame, fraction: float = 0.15, advanced: bool
     parts = temporal_holdout(demand_target(features), fraction)
     if not advanced:
         return parts
-    timed = promo_weather(cyclic_time(category_momentum(store_traffic(lags(parts)))))
+    # All statistics are taken from the plain rows, so no step repeats the joins of another.
+    timed = (
+        promo_weather(cyclic_time(lags(parts)))
+        .join(store_history(parts), _STORE_HOUR, "left")
+        .join(category_history(parts), _CATEGORY_HOUR, "left")
+    )
+    enriched = _priors(timed, _cells(parts), means=True, rates=True)
+    overall = _overall_mean(parts)
     # Flags stay what they are for the segments; the model reads them as numbers later.
-    return baseline_prior(all_priors(timed)).fillna(0.0, _prior_columns())
+    return _with_baseline(enriched, overall).fillna(0.0, _prior_columns())
 
 
 def _prior_columns() -> list[str]:
