@@ -810,8 +810,8 @@ add(
              WHEN lost_sales <= 0 THEN 'Source stockout flags are present, but the model/fallback did not recover material lost sales for those hours. Treat this as a stockout evidence check.'
              ELSE 'Stockout is observed during ' || stockout_ranges || '. The model recovers lost demand during ' || lost_sales_ranges
                   || ', with the peak lost-sales signal at ' || peak_hour || ':00.' END AS readout,
-        'Observed sales total ' || format('{{:,.2f}}', observed_sales) || ', estimated demand totals ' || format('{{:,.2f}}', estimated_demand)
-          || ', and the recovered gap is ' || format('{{:,.2f}}', lost_sales) || '. This supports the action: '
+        'Observed sales total ' || format('{{:,.2f}}', ROUND(observed_sales + 1e-9::DOUBLE, 2)) || ', estimated demand totals ' || format('{{:,.2f}}', ROUND(estimated_demand + 1e-9::DOUBLE, 2))
+          || ', and the recovered gap is ' || format('{{:,.2f}}', ROUND(lost_sales + 1e-9::DOUBLE, 2)) || '. This supports the action: '
           || CASE decision_action WHEN 'Increase next order' THEN 'Increase next replenishment' WHEN 'Reduce order or markdown' THEN 'Reduce order / markdown'
                   ELSE decision_action END || '.' AS explanation
         FROM ({STORY}) JOIN ({RANGES}) USING ({DAY}) JOIN decisions USING ({DAY})""",

@@ -9,8 +9,8 @@ from restock.functions.scores import clamp_unit
 
 
 def amount(value: Column) -> Column:
-    """Two digits with thousands separators; missing is ``0``."""
-    return F.when(value.isNull(), "0").otherwise(F.format_string("%,.2f", value))
+    """Two digits with thousands separators; missing is ``0``. Sums that end on a tie go up."""
+    return F.when(value.isNull(), "0").otherwise(F.format_string("%,.2f", F.round(value + 1e-9, 2)))
 
 
 def precise(value: Column, digits: int = 4) -> Column:

@@ -16,8 +16,8 @@ from restock.session import materialise
 # monotonically_increasing_id keeps the partition above bit 33 and the place in it below.
 _PLACE_BITS = 33
 
-# Up to this many rows a top-n goes through one task; beyond it positions are used.
-TOP_ROWS_LIMIT = 100_000
+# A top-n brings n rows of every task into one, so it is used up to this n only.
+TOP_ROWS_LIMIT = 1_000
 
 
 def _placed(df: DataFrame, order: list[Column]) -> DataFrame:
@@ -59,10 +59,22 @@ def running_total(df: DataFrame, order: list, value: str, name: str) -> DataFram
 
 
 def first_rows(df: DataFrame, order: list, n: int) -> DataFrame:
-    """The first n rows of a total order; any n, since large ones never meet in one task."""
+    """The first n rows of a total order; any n, since large ones never meet in one task.
+
+    Beyond the limit for a top-n, a count per value of the leading column says up to which value
+    rows can be among the first n. Only those are placed, and at the scan the rest is skipped.
+    """
     if n <= TOP_ROWS_LIMIT:
         return df.orderBy(*_columns(order)).limit(n)
-    return ordered_position(df, order, "_position").filter(F.col("_position") < n).drop("_position")
+    rows = _up_to_cutoff(df, order[0], n) if isinstance(order[0], str) else df
+    return ordered_position(rows, order, "_position").filter(F.col("_position") < n).drop("_position")
+
+
+def _up_to_cutoff(df: DataFrame, leading: str, n: int) -> DataFrame:
+    counts = df.groupBy(leading).agg(F.count(F.lit(1)).alias("_count"))
+    reached = running_total(counts, [leading], "_count", "_reached").filter(F.col("_reached") >= n)
+    cutoff = reached.agg(F.min(leading).alias("cutoff")).first().cutoff
+    return df if cutoff is None else df.filter(F.col(leading) <= F.lit(cutoff))
 
 
 def numbered(df: DataFrame, order: list, name: str) -> DataFrame:

@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -143,9 +145,21 @@ def sample_bernoulli(df: DataFrame, keys: list[str], p: float, seed: int, cap: i
 
 
 def sample_cap_random(df: DataFrame, keys: list[str], n: int, seed: int) -> DataFrame:
-    """n rows drawn uniformly without replacement: the first n in hash order."""
+    """n rows drawn uniformly without replacement: the first n in hash order.
+
+    The first n hashes lie below a bound that follows from the number of rows, give or take some
+    deviations. Rows above it are dropped before anything is sorted; should too few lie below it,
+    which is next to impossible, all rows are sorted.
+    """
     hashed = df.withColumn("_hash", hash_text(seed, keys))
-    return first_rows(hashed, ["_hash", *keys], n).drop("_hash")
+    order = ["_hash", *keys]
+    total = df.count()
+    share = (n + 8 * math.sqrt(n) + 16) / max(total, 1)
+    if share < 1:
+        low = hashed.filter(hash_unit(seed, keys) < share)
+        if low.count() >= n:
+            hashed = low
+    return first_rows(hashed, [F.col(name) for name in order], n).drop("_hash")
 
 
 def sample_cap_ordered(df: DataFrame, keys: list[str], n: int) -> DataFrame:
