@@ -66,6 +66,34 @@ def load_job(
         warehouse.load_hourly(hourly_start, hourly_end)
 
 
+ROW_KEY = ["date_key", "store_key", "product_key", "time_key"]
+
+
+def sample_training_rows(
+    rows: DataFrame,
+    cap: int | None = None,
+    rate: float | None = None,
+    mode: str = "product-date-stratified",
+    seed: int = 42,
+) -> DataFrame:
+    """The rows of one split to train or judge on: by rate, by cap, or all of them.
+
+    A rate is drawn first and then cut at the cap; a cap alone is spread as the mode says.
+    """
+    if rate is not None:
+        return sampling.sample_bernoulli(rows, ROW_KEY, rate, seed, cap)
+    if cap is None:
+        return rows
+    groups = {"product-date-stratified": ["full_date", "product_id"], "date-stratified": ["full_date"]}
+    if mode in groups:
+        return sampling.sample_cap_per_group(rows, groups[mode], ROW_KEY, cap, seed)
+    if mode == "random":
+        return sampling.sample_cap_random(rows, ROW_KEY, cap, seed)
+    if mode == "ordered":
+        return sampling.sample_cap_ordered(rows, ROW_KEY, cap)
+    raise ValueError(f"unknown sample mode {mode}")
+
+
 @dataclass
 class TrainingRun:
     """A fitted and calibrated model with the parts it was judged on."""
@@ -116,16 +144,22 @@ def train_job(
     fraction: float = 0.15,
     advanced: bool = True,
     objective: str = "balanced",
+    calibrate_on: str = features.CALIBRATION,
     prepared: DataFrame | None = None,
+    **train_sample,
 ) -> TrainingRun:
-    """Features once over the fact, fit on trainable rows, calibrate on the tail of the train dates.
+    """Features once over the fact, fit on trainable rows, calibrate, judge on the eval split.
 
-    The eval split is never used for calibration.
+    Calibration looks at the tail of the train dates, or at the eval split when asked to. Without
+    any eval rows a sample of the fit rows is judged instead. ``train_sample`` goes to
+    :func:`sample_training_rows`; features are built before any row is left out.
     """
     if prepared is None:
         prepared = materialise(features.prepare_features(training_features, fraction, advanced))
     usable = prepared.filter(F.col("is_trainable_demand_observation"))
-    fit = usable.filter(F.col("part") == features.FIT)
+    fit = sample_training_rows(usable.filter(F.col("part") == features.FIT), **train_sample)
+    if train_sample:
+        fit = materialise(fit)
     columns = features.feature_columns(advanced)
     if strategy == "hurdle":
         model = learning.fit_hurdle(fit, columns, options)
@@ -134,16 +168,17 @@ def train_job(
         model = learning.fit_direct(fit, None if log_link else columns, options)
 
     judged = ["demand_target", "is_business_hour_6_22", "is_weekend", "is_promo_or_discount", "part", "prediction"]
-    held = usable.filter(F.col("part") != features.FIT)
+    held_eval = sampling.eval_or_train_sample(fit, usable.filter(F.col("part") == features.EVAL), ROW_KEY, options.seed)
+    held = usable.filter(F.col("part") == features.CALIBRATION).unionByName(
+        held_eval.withColumn("part", F.lit(features.EVAL))
+    )
     if not advanced:
         held = held.withColumn("is_promo_or_discount", F.lit(False))
     scored = materialise(model.predict(held).select(*S.HOURLY_KEY, *judged))
     tail = scored.filter(F.col("part") == features.CALIBRATION)
-    if tail.isEmpty():
-        factors = (1.0, 1.0, 1.0)
-    else:
-        factors = tuple(evaluation.calibration_factor(tail, objective).first())
     held_out = scored.filter(F.col("part") == features.EVAL)
+    judge = held_out if calibrate_on == features.EVAL else tail
+    factors = (1.0, 1.0, 1.0) if judge.isEmpty() else tuple(evaluation.calibration_factor(judge, objective).first())
     return TrainingRun(model, *factors, tail, held_out, prepared)
 
 

@@ -132,3 +132,18 @@ def test_reset_empties_everything(spark, source, tmp_path):
     assert all(df.isEmpty() for df in w.all_tables().values())
     jobs.load_job(spark, source, w, mode="head", shared_cap=20)
     assert w.fact_daily.count() == 40
+
+
+@pytest.mark.parametrize("mode", ["product-date-stratified", "date-stratified", "random", "ordered"])
+def test_training_caps(loaded, mode):
+    rows = loaded.training_features.filter("source_split = 'train' AND NOT stockout_flag")
+    taken = jobs.sample_training_rows(rows, cap=1500, mode=mode)
+    assert taken.count() == taken.select(*jobs.ROW_KEY).distinct().count() == 1500
+
+
+def test_training_without_eval_rows_judges_a_sample(loaded):
+    only_train = loaded.training_features.filter("source_split = 'train'")
+    options = learning.TrainingOptions(trees=2, depth=2, objective="squared")
+    run = jobs.train_job(only_train, options, "direct", advanced=False, objective="bias", calibrate_on="eval", cap=2000, mode="random")
+    assert run.held_out.count() == 2000
+    assert run.factor == pytest.approx(min(max(run.raw_factor, 0.25), 5.0))
