@@ -63,38 +63,37 @@ class ExampleWarehouse(Warehouse):
         columns = ["demand_target", "is_business_hour_6_22", "is_weekend", "is_promo_or_discount", "prediction"]
         return rows.join(predicted, S.HOURLY_KEY).select(*S.HOURLY_KEY, *columns)
 
-    def evaluation_rows(self, model_key: int, factor) -> DataFrame:
-        """Evaluation rows of a model scaled by a factor chosen on the train split."""
+    def evaluation_rows(self, model_key: int) -> DataFrame:
+        """Evaluation rows of a model scaled by its factor from the train split."""
         test, tail = self.scored(model_key), self.scored(model_key, "train")
-        chosen = test.sparkSession.range(1).select(factor.alias("calibration_factor"))
-        final = evaluation.metrics(test, factor).withColumn(
-            "calibration_factor", chosen.select("calibration_factor").scalar()
+        raw, factor = self.train_factors(model_key)
+        final = evaluation.metrics(test, factor).withColumns(
+            {"calibration_factor": F.lit(factor), "raw_calibration_factor": F.lit(raw)}
         )
-        raw = evaluation.bias_factor(tail).scalar()
         return evaluation.evaluation_rows(
             model_key,
-            final.withColumn("raw_calibration_factor", raw),
+            final,
             evaluation.metrics(test),
             evaluation.segment_metrics(test, factor),
             evaluation.metrics(tail, factor),
             evaluation.metrics(tail),
         )
 
-    def train_factor(self, model_key: int):
-        """The train split's bias factor within its bounds."""
-        raw = evaluation.bias_factor(self.scored(model_key, "train")).scalar()
-        return F.least(F.greatest(raw, F.lit(0.25)), F.lit(5.0))
+    def train_factors(self, model_key: int) -> tuple[float, float]:
+        """The train split's bias factor, as it is and within its bounds."""
+        raw = evaluation.bias_factor(self.scored(model_key, "train")).first().bias_factor
+        return raw, min(max(raw, 0.25), 5.0)
 
     @cached_property
     def model_evaluation(self) -> DataFrame:
-        rows = [self.evaluation_rows(key, self.train_factor(key)) for key in MODEL_KEYS]
+        rows = [self.evaluation_rows(key) for key in MODEL_KEYS]
         stamps = self.dim_model.select("model_key", "created_at")
         return self._store("model_evaluation", rows[0].unionByName(rows[1]).join(stamps, "model_key"))
 
     def metrics_document(self) -> DataFrame:
         """The active model's eval metrics as JSON text."""
         test = self.scored()
-        factor = self.train_factor(ACTIVE_KEY)
+        _, factor = self.train_factors(ACTIVE_KEY)
         return metrics_document(
             evaluation.metrics(test, factor),
             evaluation.metrics(test),
