@@ -11,14 +11,19 @@ from pyspark.sql import functions as F
 
 from restock.session import prepare, shared_folder
 
-# Rows per Arrow batch: whole texts may be long, so a batch holds few of them.
-BATCH_ROWS = 500
+SETTINGS = {
+    # Rows per Arrow batch: whole texts may be long, so a batch holds few of them.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+    # Texts that meet no label are filtered out ahead of the shuffle, at any size.
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+}
 
 
 def ready(spark: SparkSession) -> SparkSession:
     """The session with the library's settings and small Arrow batches."""
     prepare(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
     return spark
 
 

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from restock.llm import decontamination, mixing, quality_classifier, secret_scan, simhash_dedup
+from restock.llm import (
+    chat_format,
+    decontamination,
+    main_text,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    simhash_dedup,
+    suffix_tree_lm,
+    toxicity,
+)
 from restock.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +37,10 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.occurrences(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op3_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text.extracted(table(spark, folder, "pages"))
+
+
 def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -34,20 +49,49 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(table(spark, folder, "documents").select("doc_id", "source"))
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op7_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash_dedup.near_duplicates(table(spark, folder, "documents"))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return found.select("doc_id", digits.alias("fingerprint"), "component_id", "copies")
 
 
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality_rules.judged(table(spark, folder, "documents"))
+    return found.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "distance")
+
+
+def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations and one whose texts hold the template's own markers."""
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    hard = r"\### Assistant: </turn> ok"
+    more = [(-7, 0, "user", hard), (-7, 1, "assistant", hard)]
+    rows = rows.unionByName(spark.createDataFrame(more, "conv_id long, turn long, role string, text string"))
+    record = F.to_json(F.struct("role", "text"), {"ignoreNullFields": "false"})
+    turns = chat_format.turn_rows(rows.select("conv_id", "turn", record.alias("record")), "conv_id", "turn", "record")
+    return chat_format.digests(turns).withColumnRenamed("key", "conv_id")
+
+
+def op10_suffix_tree_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_tree_lm.scores(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_secret_scan,
         op2_decontamination,
+        op3_main_text,
         op4_quality_classifier,
         op5_mixing,
+        op6_toxicity,
         op7_simhash_dedup,
+        op8_quality_rules,
+        op9_chat_format,
+        op10_suffix_tree_lm,
     )
 }
 
