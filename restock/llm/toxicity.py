@@ -86,7 +86,8 @@ def _term_counts(wanted: frozenset[str] | None):
             if len(counts) > 500_000:
                 yield rows()
                 counts.clear()
-        yield rows()
+        if counts:
+            yield rows()
 
     return count
 
