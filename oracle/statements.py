@@ -505,7 +505,7 @@ add(
 
 # Windows.
 AVERAGES = "store_product_hour_avg product_hour_avg category_hour_avg product_avg global_hour_avg"
-add("baseline_averages", f"SELECT {KEY}, {', '.join(AVERAGES.split())} FROM baselines", AVERAGES)
+add("baseline_averages", f"SELECT {KEY}, {', '.join(AVERAGES.split())} FROM baselines_by_hour", AVERAGES)
 add("product_avg", "SELECT product_key, AVG(observed_daily_sales_amount) AS product_avg_daily_sales FROM daily GROUP BY ALL", "product_avg_daily_sales")
 add(
     "rank_per_action",

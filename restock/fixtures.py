@@ -1,8 +1,8 @@
 """Retail observations derived from an event table, and model inputs on top of them.
 
 The event table is the only given one with an hour of day over a short range of dates. Stores
-come from users (their number grows with the table), products from the event properties, sales
-from event values and stockouts from error events.
+come from users, products from the event properties, sales from event values and stockouts from error
+events.
 """
 
 from __future__ import annotations
@@ -14,15 +14,14 @@ from restock import schema as S
 from restock.functions.hours import array_total, business_slice
 
 EVAL_START = "2024-01-24"
+# Users with neighbouring ids share a store, so stores grow with the users and keep their ids.
+USERS_PER_STORE = 15
 
 
 def observations_from_events(events: DataFrame) -> DataFrame:
     """One row per (store, product) pair and calendar date, each with both 24-hour arrays."""
-    stores = events.agg(
-        F.greatest(F.lit(10), F.floor(F.count(F.lit(1)) / 1000.0)).cast("bigint").alias("n")
-    ).scalar()
     sales = events.select(
-        (F.col("user_id") % stores).alias("store_id"),
+        F.floor(F.col("user_id") / USERS_PER_STORE).cast("bigint").alias("store_id"),
         (F.get_json_object("props", "$.k").cast("bigint") % 20).alias("product_id"),
         F.col("ts").cast("date").alias("dt"),
         F.hour("ts").alias("hr"),

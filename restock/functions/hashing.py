@@ -6,8 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Stands for a null key, so that a null in one place differs from a null in another.
+_NULL = "\\N"
+
+
 def hash_text(seed: int, keys: list[str]) -> Column:
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(key).cast("string") for key in keys]))
+    values = [F.coalesce(F.col(key).cast("string"), F.lit(_NULL)) for key in keys]
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *values))
 
 
 def hash_unit(seed: int, keys: list[str]) -> Column:

@@ -135,7 +135,7 @@ def import_predictions(predictions: DataFrame, model_key: int) -> DataFrame:
 
     Required are the keys, observed sales and the stockout flag, and one of
     ``estimated_true_demand`` and ``predicted_demand``. What is missing is derived; values that do
-    not read as numbers count as 0.
+    not read as numbers count as 0, and a missing stockout flag as a stockout.
     """
     required = {*S.HOURLY_KEY, "observed_sales_amount", "stockout_flag"}
     missing = sorted(required - set(predictions.columns))
@@ -152,7 +152,7 @@ def import_predictions(predictions: DataFrame, model_key: int) -> DataFrame:
     clean = predictions.select(
         *[number(key, "int").alias(key) for key in S.HOURLY_KEY],
         number("observed_sales_amount").alias("observed_sales_amount"),
-        F.col("stockout_flag").cast("boolean").alias("stockout_flag"),
+        F.coalesce(F.col("stockout_flag").cast("boolean"), F.lit(True)).alias("stockout_flag"),
         number(given[0]).alias("_demand"),
         *[number(name).alias(f"_{name}") for name in _DERIVABLE if name in predictions.columns],
     )

@@ -34,18 +34,22 @@ def metrics_document(
     return final.select(F.to_json(document).alias("value"))
 
 
-def metrics_flatten(documents: DataFrame, text: str = "value", depth: int = 3) -> DataFrame:
-    """Numeric entries of JSON objects as (metric_name, metric_value).
+def metrics_flatten(documents: DataFrame, text: str = "value") -> DataFrame:
+    """Numeric entries of JSON objects, at any depth, as (metric_name, metric_value).
 
     Names of nested entries are joined with ``_``, booleans count as 0 and 1, everything else is
-    dropped, numbers written as text included.
+    dropped, numbers written as text included. If a document gives one name twice, as a nested entry
+    and beside the nest, the deeper one stands. Documents are small; each level is looked at once to
+    see whether another one follows.
     """
-    level = documents.select(F.lit("").alias("prefix"), F.parse_json(text).alias("node"))
+    document = F.monotonically_increasing_id().alias("document")
+    level = documents.select(document, F.lit("").alias("prefix"), F.parse_json(text).alias("node"))
     leaves = []
-    for _ in range(depth):
+    while not leaves or not level.isEmpty():
         # The output columns of the table function are pos, key and value.
         entries = level.lateralJoin(level.sparkSession.tvf.variant_explode(F.col("node").outer()))
         named = entries.select(
+            "document",
             F.when(F.col("prefix") == "", F.col("key")).otherwise(F.concat_ws("_", "prefix", "key")).alias("prefix"),
             F.col("value").alias("node"),
             F.schema_of_variant("value").alias("kind"),
@@ -54,16 +58,25 @@ def metrics_flatten(documents: DataFrame, text: str = "value", depth: int = 3) -
         number = F.when(F.col("kind") == "BOOLEAN", F.try_variant_get("node", "$", "boolean").cast("double")).when(
             numeric, F.try_variant_get("node", "$", "double")
         )
-        leaves.append(named.select(F.col("prefix").alias("metric_name"), number.alias("metric_value")))
-        level = named.filter(F.col("kind").startswith("OBJECT")).select("prefix", "node")
+        depth = F.lit(len(leaves)).alias("depth")
+        leaves.append(
+            named.select("document", depth, F.col("prefix").alias("metric_name"), number.alias("metric_value"))
+        )
+        level = named.filter(F.col("kind").startswith("OBJECT")).select("document", "prefix", "node")
     rows = leaves[0]
     for deeper in leaves[1:]:
         rows = rows.unionByName(deeper)
-    return rows.filter(F.col("metric_value").isNotNull())
+    given = rows.filter(F.col("metric_value").isNotNull()).groupBy("document", "metric_name")
+    return given.agg(F.max_by("metric_value", "depth").alias("metric_value")).drop("document")
+
 
+def metrics_import(
+    documents: DataFrame, metadata: DataFrame | None, model_key: int, files: dict[str, str] | None = None
+) -> DataFrame:
+    """Flattened metrics as evaluation rows of the eval split, described by the run's metadata.
 
-def metrics_import(documents: DataFrame, metadata: DataFrame | None, model_key: int) -> DataFrame:
-    """Flattened metrics as evaluation rows of the eval split, described by the run's metadata."""
+    ``files`` names the files they came from (``metrics_file``, ``metadata_file``) for the context.
+    """
     rows = metrics_flatten(documents)
     if metadata is None:
         context = F.create_map().cast("map<string,string>")
@@ -72,6 +85,9 @@ def metrics_import(documents: DataFrame, metadata: DataFrame | None, model_key:
         pairs = [part for key in CONTEXT_KEYS for part in (F.lit(key), entry(key))]
         count = F.json_array_length(entry("feature_columns")).cast("string")
         context = metadata.select(F.create_map(*pairs, F.lit("feature_count"), count)).scalar()
+    if files:
+        named = F.create_map(*[F.lit(part) for entry in files.items() for part in entry])
+        context = F.map_concat(context, named)
     return rows.select(
         F.lit(model_key).alias("model_key"),
         F.lit("eval").alias("evaluation_split"),

@@ -22,22 +22,25 @@ def latest_model(models: DataFrame) -> DataFrame:
     return models.orderBy(F.desc("created_at"), F.desc("model_key")).limit(1)
 
 
-def latest_model_with_predictions(
-    models: DataFrame, estimates: DataFrame, recommendations: DataFrame
-) -> DataFrame:
-    """The newest model that has demand estimates, with both row counts."""
+def model_output(estimates: DataFrame, recommendations: DataFrame) -> DataFrame:
+    """Rows of every model in both model facts; small enough to be kept beside them."""
     estimated = estimates.groupBy("model_key").agg(F.count(F.lit(1)).alias("demand_estimate_rows"))
     recommended = recommendations.groupBy("model_key").agg(F.count(F.lit(1)).alias("recommendation_rows"))
-    counted = models.join(estimated, "model_key").join(recommended, "model_key", "left")
-    return latest_model(counted.fillna(0, ["recommendation_rows"]))
+    return estimated.join(recommended, "model_key", "full").fillna(0)
+
+
+def latest_model_with_predictions(models: DataFrame, output: DataFrame) -> DataFrame:
+    """The newest model that has demand estimates, with both row counts."""
+    return latest_model(models.join(output.filter("demand_estimate_rows > 0"), "model_key"))
 
 
-def active_model(models: DataFrame, estimates: DataFrame) -> Column:
+def active_model(models: DataFrame, output: DataFrame) -> Column:
     """The active model as a scalar (key, name, version); null when no model has estimates.
 
-    A scalar subquery keeps rows when there is no model, without joining anything to the fact.
+    A scalar subquery keeps rows when there is no model, without joining anything to the fact. The
+    counts stand for the facts, which are not opened.
     """
-    used = models.join(estimates.select("model_key").distinct(), "model_key", "left_semi")
+    used = models.join(output.filter("demand_estimate_rows > 0"), "model_key", "left_semi")
     return latest_model(used).select(F.struct("model_key", "model_name", "model_version")).scalar()
 
 
@@ -61,7 +64,7 @@ def newest_quality(quality: DataFrame, n: int = 5) -> DataFrame:
 
 
 def model_quality_latest(
-    models: DataFrame, evaluation: DataFrame, estimates: DataFrame
+    models: DataFrame, evaluation: DataFrame, output: DataFrame
 ) -> DataFrame:
     """Quality of the active model, with its calibration factor before capping."""
     raw = (
@@ -69,7 +72,7 @@ def model_quality_latest(
         .groupBy("model_key")
         .agg(F.max("metric_value").alias("raw_calibration_factor"))
     )
-    key = active_model(models, estimates)["model_key"]
+    key = active_model(models, output)["model_key"]
     return (
         model_quality(models, evaluation)
         .filter(F.col("model_key") == key)

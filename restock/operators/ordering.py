@@ -71,10 +71,15 @@ def first_rows(df: DataFrame, order: list, n: int) -> DataFrame:
 
 
 def _up_to_cutoff(df: DataFrame, leading: str, n: int) -> DataFrame:
+    """Rows up to the last leading value that can matter; nulls come first in the order."""
     counts = df.groupBy(leading).agg(F.count(F.lit(1)).alias("_count"))
     reached = running_total(counts, [leading], "_count", "_reached").filter(F.col("_reached") >= n)
-    cutoff = reached.agg(F.min(leading).alias("cutoff")).first().cutoff
-    return df if cutoff is None else df.filter(F.col(leading) <= F.lit(cutoff))
+    first = F.min(F.struct(F.col(leading).isNotNull().alias("given"), F.col(leading).alias("value")))
+    cutoff = reached.agg(first.alias("cutoff")).first().cutoff
+    if cutoff is None:
+        return df
+    none = F.col(leading).isNull()
+    return df.filter(none | (F.col(leading) <= F.lit(cutoff.value)) if cutoff.given else none)
 
 
 def numbered(df: DataFrame, order: list, name: str) -> DataFrame:

@@ -191,9 +191,7 @@ def sample_cap_per_group(df: DataFrame, groups: list[str], keys: list[str], n: i
 
 
 def eval_or_train_sample(
-    train: DataFrame, evaluation: DataFrame, keys: list[str], seed: int, n: int = 50_000
+    train: DataFrame, evaluation: DataFrame, keys: list[str], seed: int, n: int | None = None
 ) -> DataFrame:
-    """The evaluation rows, or a training sample where there are none."""
-    has_eval = evaluation.agg(F.count(F.lit(1)) > 0).scalar()
-    fallback = sample_cap_random(train, keys, n, seed)
-    return evaluation.unionByName(fallback.filter(~has_eval))
+    """The evaluation rows, or where there are none the training rows: all, or a sample of n of them."""
+    return sample_exact_n(train, keys, n, seed) if evaluation.isEmpty() else evaluation

@@ -295,7 +295,7 @@ def eval_or_train_sample(w):
     """No evaluation rows reach the dates of the train split, so a training sample stands in."""
     train = trainable(w)
     none = trainable(w, "eval").filter(F.col("full_date") < train.agg(F.min("full_date")).scalar())
-    return sampling.eval_or_train_sample(train, none, S.HOURLY_KEY, SEED)
+    return sampling.eval_or_train_sample(train, none, S.HOURLY_KEY, SEED, 50_000)
 
 
 # Dimensions and facts.
@@ -576,12 +576,12 @@ def newest_quality(w):
 
 @query
 def model_quality_latest(w):
-    return models.model_quality_latest(w.dim_model, w.model_evaluation, w.demand_estimates)
+    return models.model_quality_latest(w.dim_model, w.model_evaluation, w.model_output)
 
 
 @query
 def quality_guardrails(w):
-    latest = models.model_quality_latest(w.dim_model, w.model_evaluation, w.demand_estimates)
+    latest = models.model_quality_latest(w.dim_model, w.model_evaluation, w.model_output)
     return models.quality_guardrails(latest)
 
 
@@ -848,7 +848,7 @@ def latest_model(w):
 
 @query
 def latest_model_with_predictions(w):
-    return models.latest_model_with_predictions(w.dim_model, w.demand_estimates, w.recommendations)
+    return models.latest_model_with_predictions(w.dim_model, w.model_output)
 
 
 def _unmodelled(spark: SparkSession, source_folder: str) -> DataFrame:

@@ -146,13 +146,14 @@ def train_job(
     objective: str = "balanced",
     calibrate_on: str = features.CALIBRATION,
     prepared: DataFrame | None = None,
+    judged_rows: int | None = None,
     **train_sample,
 ) -> TrainingRun:
     """Features once over the fact, fit on trainable rows, calibrate, judge on the eval split.
 
     Calibration looks at the tail of the train dates, or at the eval split when asked to. Without
-    any eval rows a sample of the fit rows is judged instead. ``train_sample`` goes to
-    :func:`sample_training_rows`; features are built before any row is left out.
+    any eval rows the fit rows are judged instead, all or a sample of ``judged_rows``. ``train_sample``
+    goes to :func:`sample_training_rows`; features are built before any row is left out.
     """
     if prepared is None:
         prepared = materialise(features.prepare_features(training_features, fraction, advanced))
@@ -168,7 +169,8 @@ def train_job(
         model = learning.fit_direct(fit, None if log_link else columns, options)
 
     judged = ["demand_target", "is_business_hour_6_22", "is_weekend", "is_promo_or_discount", "part", "prediction"]
-    held_eval = sampling.eval_or_train_sample(fit, usable.filter(F.col("part") == features.EVAL), ROW_KEY, options.seed)
+    on_eval = usable.filter(F.col("part") == features.EVAL)
+    held_eval = sampling.eval_or_train_sample(fit, on_eval, ROW_KEY, options.seed, judged_rows)
     held = usable.filter(F.col("part") == features.CALIBRATION).unionByName(
         held_eval.withColumn("part", F.lit(features.EVAL))
     )

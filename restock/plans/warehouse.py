@@ -109,6 +109,17 @@ class Warehouse:
     def model_evaluation(self) -> DataFrame:
         return self._empty("model_evaluation")
 
+    @cached_property
+    def model_output(self) -> DataFrame:
+        """Rows per model in the model facts, stored so that views need not open the facts."""
+        counts = models.model_output(self.demand_estimates, self.recommendations)
+        return self.tables.write(counts, "model_output", S.MODEL_OUTPUT)
+
+    def _recount(self) -> None:
+        """Bring the stored counts up to date after a change; only footers of the facts are read."""
+        self.__dict__.pop("model_output", None)
+        self.model_output  # noqa: B018 - counts and stores
+
     # Views.
 
     @cached_property
@@ -125,7 +136,7 @@ class Warehouse:
 
     @property
     def active_model(self) -> Column:
-        return models.active_model(self.dim_model, self.demand_estimates)
+        return models.active_model(self.dim_model, self.model_output)
 
     @cached_property
     def hourly_demand_estimate(self) -> DataFrame:
@@ -207,12 +218,14 @@ class Warehouse:
 
     def load_estimates(self, estimates: DataFrame) -> None:
         self._upsert("demand_estimates", estimates, S.ESTIMATE_KEY)
+        self._recount()
 
     def load_recommendations(self, model_key: int, service_level: float = S.SERVICE_LEVEL) -> None:
         """Daily recommendations of one model, all dates in one job."""
         of_model = self.demand_estimates.filter(F.col("model_key") == model_key)
         rows = demand.recommendations(of_model, self.fact_daily, service_level)
         self._upsert("recommendations", rows, S.RECOMMENDATION_KEY)
+        self._recount()
 
     def refresh_training_dates(self, model_key: int) -> None:
         updated = dims.with_training_dates(self.dim_model, self.demand_estimates, self.dim_date, model_key)
@@ -229,6 +242,7 @@ class Warehouse:
             if self.tables.exists(name):
                 self.tables.drop_partition(name, "model_key", model_key)
                 setattr(self, name, self.tables.read(name, SCHEMAS[name]))
+        self._recount()
         self._forget(VIEWS)
 
     def reset(self) -> None:
@@ -237,3 +251,5 @@ class Warehouse:
         self._forget([*SCHEMAS, *VIEWS])
         for name in SCHEMAS:
             setattr(self, name, self.tables.read(name, SCHEMAS[name]))
+        self.tables.truncate({"model_output": S.MODEL_OUTPUT})
+        self.model_output = self.tables.read("model_output", S.MODEL_OUTPUT)

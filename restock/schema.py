@@ -156,6 +156,8 @@ RECOMMENDATION = _table(
     service_level_target=_double,
 )
 
+MODEL_OUTPUT = _table(model_key=_int, demand_estimate_rows=_long, recommendation_rows=_long)
+
 MODEL_EVALUATION = _table(
     model_key=_int,
     evaluation_split=_string,

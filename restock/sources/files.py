@@ -29,11 +29,11 @@ def feature_scan(
     sample_rate: float | None = None,
     seed: int = 42,
     limit: int | None = None,
-    ordered: bool = True,
+    ordered: bool | None = None,
 ) -> DataFrame:
     """Rows of the feature view that meet all given conditions, optionally ordered and limited.
 
-    Date conditions are put on the date key too, so they prune partitions of the hourly fact.
+    Without a word on it, rows are ordered where a limit makes the order matter. Date conditions are put on the date key too, so they prune partitions of the hourly fact.
     """
     if limit is not None and limit <= 0:
         raise ValueError("the row limit must be greater than zero")
@@ -60,7 +60,7 @@ def feature_scan(
     for condition in conditions:
         rows = rows.filter(condition)
     if limit is not None:
-        return first_rows(rows, FEATURE_ORDER, limit) if ordered else rows.limit(limit)
+        return rows.limit(limit) if ordered is False else first_rows(rows, FEATURE_ORDER, limit)
     return rows.orderBy(*FEATURE_ORDER) if ordered else rows
 
 
@@ -79,14 +79,13 @@ def normalise_features(features: DataFrame) -> DataFrame:
 
 
 def export_features(features: DataFrame, path: str, compression: str = "zstd") -> DataFrame:
-    """Write the feature file and return it as read back; no rows is an error."""
+    """Write the feature file and return it as read back; no rows is an error and leaves an older file alone."""
     if compression not in COMPRESSIONS:
         raise ValueError(f"compression is one of {COMPRESSIONS}")
+    if features.isEmpty():
+        raise RuntimeError("no feature rows to export; are hourly facts loaded?")
     normalise_features(features).write.mode("overwrite").option("compression", compression).parquet(path)
-    written = features.sparkSession.read.schema(S.FEATURE).parquet(path)
-    if written.isEmpty():
-        raise RuntimeError("no feature rows were exported; are hourly facts loaded?")
-    return written
+    return features.sparkSession.read.schema(S.FEATURE).parquet(path)
 
 
 def export_predictions(clamped: DataFrame, path: str) -> DataFrame:

@@ -3,11 +3,25 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from restock.operators.merge import require_unique, upsert
 
 
+def touched_partitions(table: DataFrame, incoming: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """The rows of the partitions that incoming rows fall into; others are not opened."""
+    touched = [tuple(row) for row in incoming.select(*columns).distinct().collect()]
+    if not touched:
+        return table.limit(0)
+    for place, name in enumerate(columns):
+        table = table.filter(F.col(name).isin(sorted({values[place] for values in touched})))
+    if len(columns) == 1:
+        return table
+    # Combinations that do not come in stay as they are.
+    return table.filter(F.struct(*columns).isin([F.struct(*map(F.lit, values)) for values in touched]))
+
+
 class TableFolder:
     """Named parquet tables; writes replace only the partitions they touch."""
 
@@ -54,7 +68,7 @@ class TableFolder:
     ) -> DataFrame:
         """Upsert into the table, reading and rewriting only the partitions found in the incoming rows.
 
-        The merged rows go through a checkpoint first, so a lost executor cannot make the job
+        Their values are few (dates and models), so they reach the scan as literals. The merged rows go through a checkpoint first, so a lost executor cannot make the job
         read files that the commit is replacing.
         """
         if not self.exists(name):
@@ -62,8 +76,7 @@ class TableFolder:
             return self.write(incoming, name, schema, partition_by)
         existing = self.read(name, schema)
         if partition_by:
-            touched = incoming.select(*partition_by).distinct()
-            existing = existing.join(touched, list(partition_by), "left_semi")
+            existing = touched_partitions(existing, incoming, partition_by)
         return self.write(upsert(existing, incoming, keys, **rules).checkpoint(), name, schema, partition_by)
 
     def drop_partition(self, name: str, column: str, value) -> None:

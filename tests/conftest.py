@@ -8,7 +8,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from restock.plans.examples import example_warehouse  # noqa: E402
 from restock.session import build_session, prepare  # noqa: E402
 
-FOLDER = os.environ.get("RESTOCK_TEST_FOLDER", "/root/testdata/sf0.001")
+FOLDER = os.environ.get("RESTOCK_TEST_FOLDER", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="session")
