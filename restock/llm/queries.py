@@ -20,6 +20,7 @@ from restock.llm import (
     toxicity,
 )
 from restock.llm.common import table
+from restock.llm.statements import STATEMENTS  # noqa: F401 - registered with the queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,5 +95,3 @@ QUERIES: dict[str, Query] = {
         op10_suffix_tree_lm,
     )
 }
-
-STATEMENTS: dict[str, str] = {}
