@@ -6,7 +6,9 @@ word is read through the product of the trie of the lexicon and the Levenshtein
 entry; states that were reached once are kept, so reading on costs one lookup per letter. Entries of
 five letters or more may be misspelled by one edit, of nine or more by two.
 
-Every hit is weighed by its entry, its edits and the window around it: other hits near by add to it,
+What misspellings are worth is looked up in the training rows: forms that many clean rows hold are
+words of their own, and of the others each entry's hits with one and two edits are counted over toxic
+and clean rows. Every hit is weighed by its entry, its edits and the window around it: other hits near by add to it,
 quotation marks around it and words of reporting before it take from it. The sum of a text is turned
 into a probability by a logistic curve fitted on at most ``SAMPLE_ROWS`` training rows of each class,
 the one bound here; counts cover all training rows.
@@ -22,6 +24,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -33,7 +36,9 @@ from restock.llm.common import is_held_out, written
 SAMPLE_ROWS = 3_000
 SHORTEST, LONGEST = 4, 12
 LEAST_RATIO = 20.0
-LEAST_PRECISION = 0.5
+LEAST_PRECISION = 0.75
+# A misspelled form in this share of the clean training rows is a word of its own.
+COMMON_FORM = 0.0005
 WINDOW = 6
 # Signs and words that tell a quotation or a report from abuse.
 QUOTES = set("\"'“”„«»‘’‹›")
@@ -155,6 +160,7 @@ class Automaton:
         self.steps: list[dict[str, int]] = [{}]
         self.found: list[tuple[int, str] | None] = [self._begun(self.starts)]
         self.words: dict[str, tuple[int, str] | None] = {}
+        self.plain: frozenset[str] = frozenset()
 
     def _closed(self, errors: dict[int, int]) -> tuple:
         """Adds nodes reached by leaving letters out."""
@@ -202,6 +208,8 @@ class Automaton:
         """(edits, entry) of the nearest entry that is the word or begins it."""
         if word in self.words:
             return self.words[word]
+        if word in self.plain:
+            return None
         if len(self.words) > _CACHE_WORDS:
             self.words.clear()
         state, begun = 0, None
@@ -218,12 +226,26 @@ class Automaton:
         return best
 
 
+@dataclass(frozen=True)
+class Knowledge:
+    """Entries with their weights, weights of misspelled hits where there is evidence, and forms that are no hits."""
+
+    lexicon: dict[str, float]
+    misspelled: dict[tuple[str, int], float] = field(default_factory=dict)
+    plain: frozenset[str] = frozenset()
+
+    def weight(self, entry: str, done: int) -> float:
+        usual = self.lexicon[entry] * 0.5**done
+        return min(usual, self.misspelled.get((entry, done), usual)) if done else usual
+
+
 class Scorer:
     """Sum of weighed hits of a text."""
 
-    def __init__(self, lexicon: dict[str, float]):
-        self.lexicon = lexicon
-        self.automaton = Automaton(lexicon)
+    def __init__(self, knowledge: Knowledge):
+        self.knowledge = knowledge
+        self.automaton = Automaton(knowledge.lexicon)
+        self.automaton.plain = knowledge.plain
 
     def hits(self, text: str | None) -> tuple[list[str], list[tuple[int, int, str]]]:
         words = _words(text)
@@ -231,20 +253,64 @@ class Scorer:
         return words, [(at, *hit) for at, word in enumerate(words) if (hit := match(word)) is not None]
 
     def score(self, text: str | None) -> float:
-        """Hits weigh by entry, half per edit, more among other hits and less in a quotation."""
+        """Hits weigh more among other hits and less in a quotation or a report."""
         words, hits = self.hits(text)
+        weighed = [(at, weight) for at, done, entry in hits if (weight := self.knowledge.weight(entry, done)) > 0]
+        places = np.array([at for at, _ in weighed])
         total = 0.0
-        places = np.array([at for at, _, _ in hits])
-        for at, errors, entry in hits:
+        for at, weight in weighed:
             near = int((np.abs(places - at) <= WINDOW).sum()) - 1
             before, after = words[max(0, at - WINDOW) : at], words[at + 1 : at + 1 + WINDOW]
             quoted = bool(QUOTES.intersection(before)) and bool(QUOTES.intersection(after))
             reported = bool(REPORTS.intersection(before))
-            factor = (0.3 if quoted else 1.0) * (0.5 if reported else 1.0) * (1 + 0.25 * min(near, 4))
-            total += self.lexicon[entry] * 0.5**errors * factor
+            total += weight * (0.3 if quoted else 1.0) * (0.5 if reported else 1.0) * (1 + 0.25 * min(near, 4))
         return total
 
 
+def _form_counts(lexicon: dict[str, float]):
+    """Training rows that hold each misspelled form, by label, within a task."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        automaton = Automaton(lexicon)
+        counts: Counter[tuple] = Counter()
+        for batch in batches:
+            for label, text in zip(batch["label"], batch["text"], strict=True):
+                for word in set(_words(text)):
+                    hit = automaton.match(word)
+                    if hit is not None and hit[0]:
+                        counts[word, hit[1], hit[0], label] += 1
+        if counts:
+            rows = [(*key, n) for key, n in counts.items()]
+            yield pd.DataFrame(rows, columns=["form", "entry", "edits", "label", "n"])
+
+    return count
+
+
+def knowledge_of(training: DataFrame, n_toxic: int, n_clean: int) -> Knowledge:
+    """Lexicon of the training rows and what its misspellings are worth.
+
+    The driver receives the forms that a fixed share of the clean rows holds, and two counts for each
+    entry and number of edits.
+    """
+    lexicon = lexicon_of(training, n_toxic, n_clean)
+    if not lexicon:
+        return Knowledge({})
+    rows = training.select("label", "text").mapInPandas(
+        _form_counts(lexicon), "form string, entry string, edits int, label int, n long"
+    )
+    forms = written(rows.groupBy("form", "entry", "edits", "label").agg(F.sum("n").alias("n")))
+    common = forms.filter((F.col("label") == 0) & (F.col("n") >= max(2.0, COMMON_FORM * n_clean))).select("form")
+    counted = forms.join(common, "form", "left_anti").groupBy("entry", "edits", "label").agg(F.sum("n").alias("n"))
+    seen: dict[tuple[str, int], list[int]] = {}
+    for row in counted.collect():
+        seen.setdefault((row.entry, row.edits), [0, 0])[row.label] = row.n
+    misspelled = {
+        key: float(max(0.0, np.log((toxic + 0.5) / (n_toxic + 1) / ((clean + 0.5) / (n_clean + 1)))))
+        for key, (clean, toxic) in seen.items()
+    }
+    return Knowledge(lexicon, misspelled, frozenset(row.form for row in common.collect()))
+
+
 def logistic(sums: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     """Slope and intercept of a curve over log(1 + sum), by Newton steps with a small penalty."""
     x = np.column_stack([np.log1p(sums), np.ones(len(sums))])
@@ -284,11 +350,11 @@ def lexicon_of(training: DataFrame, n_toxic: int, n_clean: int) -> dict[str, flo
 _scorers: dict[int, Scorer] = {}
 
 
-def _scorer(lexicon: dict[str, float]) -> Scorer:
-    key = hash(frozenset(lexicon.items()))
+def _scorer(knowledge: Knowledge) -> Scorer:
+    key = hash((frozenset(knowledge.lexicon.items()), frozenset(knowledge.misspelled.items()), knowledge.plain))
     if key not in _scorers:
         _scorers.clear()
-        _scorers[key] = Scorer(lexicon)
+        _scorers[key] = Scorer(knowledge)
     return _scorers[key]
 
 
@@ -306,14 +372,14 @@ def scores(
     training = written(training.select("doc_id", "text", "label"))
     sizes = {row[0]: row[1] for row in training.groupBy("label").count().collect()}
     n_clean, n_toxic = sizes.get(0, 0), sizes.get(1, 0)
-    lexicon = lexicon_of(training, n_toxic, n_clean)
+    knowledge = knowledge_of(training, n_toxic, n_clean)
 
     @F.pandas_udf("double")
     def summed(texts: pd.Series) -> pd.Series:
-        scorer = _scorer(lexicon)
+        scorer = _scorer(knowledge)
         return pd.Series([scorer.score(text) for text in texts], dtype="float64")
 
-    if lexicon:
+    if knowledge.lexicon:
         mixed = F.xxhash64(F.col("doc_id"), F.lit(11))
         sums, marks = [], []
         for mark in (0, 1):

@@ -68,13 +68,26 @@ def test_held_out_rows_and_misspellings(spark, tmp_path):
 
 
 def test_quotation_and_report_weigh_less():
-    scorer = toxicity.Scorer(LEXICON)
+    scorer = toxicity.Scorer(toxicity.Knowledge(LEXICON))
     plain = scorer.score("you are an idiot today")
     assert scorer.score("x \u201cyou are an idiot\u201d today") < plain and scorer.score("they said you idiot") < plain
     assert scorer.score("idiot lowei path") > 3 * 2.0 and scorer.score("an idjot") == plain / 2
     assert scorer.score(None) == scorer.score("") == scorer.score("nothing here") == 0.0
 
 
+def test_common_clean_forms_and_evidence(spark, tmp_path):
+    """A common word one edit from an entry is no hit; misspellings seen in toxic rows are."""
+    texts, marks = [], []
+    for i in range(300):
+        toxic = i % 5 == 0
+        word = ("grumble" if i % 10 else "grumbel") if toxic else ("crumble" if i % 2 else f"n{i}")
+        texts.append(f"row {i} has the {word} in it")
+        marks.append((i, 1, int(toxic)))
+    rows = toxicity.scores(documents(spark, tmp_path, [*texts, "a grumblee", "a crumble"]), labels(spark, marks)).collect()
+    found = {row.doc_id: row.predicted for row in rows}
+    assert all(found[i] == toxic for i, _, toxic in marks) and (found[300], found[301]) == (1, 0)
+
+
 def test_odd_rows_and_labels(spark, tmp_path):
     docs = stored(spark, tmp_path, ODD)
     given = labels(spark, [(1, 1, 1), (1, 1, 0), (5, 0, 0), (2, None, None), (None, 1, 1), (99, 0, 1), (6, 1, 7)])
