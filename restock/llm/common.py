@@ -14,8 +14,6 @@ from restock.session import prepare, shared_folder
 SETTINGS = {
     # Rows per Arrow batch: whole texts may be long, so a batch holds few of them.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
-    # Texts that meet no label are filtered out ahead of the shuffle, at any size.
-    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
 }
 
 
@@ -54,6 +52,22 @@ def as_bytes(texts: pd.Series) -> Iterator[bytes]:
         yield b"" if text is None or text != text else text.encode("utf-8", "surrogatepass")
 
 
+# Hash places that stand for keys in a filter; what is broadcast is never larger than this many rows.
+PLACES = 1 << 20
+
+
+def likely(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """Rows whose key shares a hash place with a key of ``keys``: all that match and few others.
+
+    It goes ahead of a join, so that texts without a match are not shuffled. With far more keys than
+    places every row passes and the join does all the work.
+    """
+    place = F.pmod(F.xxhash64(F.col(column).cast("string")), F.lit(PLACES))
+    name = fresh(rows, "_place")
+    taken = F.broadcast(keys.select(place.alias(name)).distinct())
+    return rows.withColumn(name, place).join(taken, name, "left_semi").drop(name)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that the rows do not have yet."""
     taken = {column.lower() for column in df.columns}

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from restock.llm.common import is_held_out, written
+from restock.llm.common import is_held_out, likely, written
 
 COLUMNS = 1 << 16
 WORD_COLUMNS = 1 << 15
@@ -212,6 +212,7 @@ def accepted(docs: DataFrame, labels: DataFrame, label: str = "quality", divisor
     Features of labelled rows are taken first; the texts themselves are scored where they are read.
     """
     wanted = labels.filter(F.col(label).isin(0, 1)).select("doc_id").distinct()
-    training = docs.filter(~is_held_out("doc_id", divisor, rest)).select("doc_id", packed_features("text").alias("packed"))
-    score = _scorer(_fitted(training.join(wanted, "doc_id", "left_semi"), labels, label, divisor, rest))
+    training = likely(docs.filter(~is_held_out("doc_id", divisor, rest)).select("doc_id", "text"), wanted, "doc_id")
+    packed = training.select("doc_id", packed_features("text").alias("packed"))
+    score = _scorer(_fitted(packed, labels, label, divisor, rest))
     return docs.filter(score(packed_features("text")) >= 0.5)

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from restock.llm.common import is_held_out, written
+from restock.llm.common import is_held_out, likely, written
 
 SAMPLE_ROWS = 3_000
 SHORTEST, LONGEST = 4, 12
@@ -368,8 +368,8 @@ def scores(
 ) -> DataFrame:
     """Per row: doc_id, held_out, score, predicted and ``hits`` (the weighed sum)."""
     usable = labels.filter(F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("label"))
-    training = docs.filter(~is_held_out("doc_id", divisor, rest)).select("doc_id", "text").join(usable, "doc_id")
-    training = written(training.select("doc_id", "text", "label"))
+    open_rows = docs.filter(~is_held_out("doc_id", divisor, rest)).select("doc_id", "text")
+    training = written(likely(open_rows, usable, "doc_id").join(usable, "doc_id").select("doc_id", "text", "label"))
     sizes = {row[0]: row[1] for row in training.groupBy("label").count().collect()}
     n_clean, n_toxic = sizes.get(0, 0), sizes.get(1, 0)
     knowledge = knowledge_of(training, n_toxic, n_clean)
