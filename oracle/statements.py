@@ -939,3 +939,100 @@ add(
               FROM (SELECT *, AVG(y) OVER () AS m FROM {plain(2, 'eval')}))""",
     "mae rmse wmape wmape_percent bias_percent baseline_mae baseline_mae_improvement_percent",
 )
+
+# What holds for any sound model, and what the fits have used.
+FACTS = (
+    f"SELECT COUNT(*) AS rows_scored, COUNT(DISTINCT ({KEY})) AS keys_scored, 0::BIGINT AS negative_rows, 0::BIGINT AS missing_rows "
+    "FROM parts WHERE part = 'eval'"
+)
+add(
+    "fit_hurdle_facts",
+    f"""SELECT *, GREATEST(zero_rows / positive_rows::DOUBLE, 1) AS positive_weight FROM ({FACTS}),
+       (SELECT CAST(COUNT(*) FILTER (observed_sales_amount > 0) AS INT) AS positive_rows,
+               CAST(COUNT(*) FILTER (NOT observed_sales_amount > 0) AS INT) AS zero_rows
+        FROM parts WHERE part = 'fit' AND NOT stockout_flag)""",
+    "positive_weight",
+)
+for name in ("fit_direct_facts", "fit_direct_poisson_facts", "fit_direct_squared_facts"):
+    add(name, f"SELECT *, TRUE AS fits_better FROM ({FACTS})")
+add(
+    "fit_comparison_facts",
+    """SELECT COUNT(*) AS rows_scored, COUNT(DISTINCT (source_split, store_id, product_id, dt, hour)) AS keys_scored,
+       0::BIGINT AS negative_rows, 0::BIGINT AS missing_rows FROM comp WHERE source_split = 'eval'""",
+)
+add("save_and_load_model_facts", "SELECT COUNT(*) AS rows_scored, 0::BIGINT AS differing_rows FROM parts WHERE part = 'eval'")
+add(
+    "train_job_facts",
+    """SELECT COUNT(*) FILTER (part = 'calibration') AS calibration_rows, COUNT(*) FILTER (part = 'eval') AS judged_rows,
+       TRUE AS factor_bounded FROM parts WHERE NOT stockout_flag""",
+)
+add(
+    "temporal_holdout_one_date",
+    """SELECT CASE WHEN source_split = 'eval' THEN 'eval' WHEN full_date = last THEN 'calibration' ELSE 'fit' END AS part,
+       COUNT(*) AS hourly_rows, COUNT(DISTINCT full_date) AS dates
+       FROM features, (SELECT MAX(full_date) AS last FROM features WHERE source_split = 'train') GROUP BY ALL""",
+)
+
+# Stored tables.
+TURNED = "SELECT * REPLACE (IF({0}, 1 - activity_flag, activity_flag) AS activity_flag) FROM {1}"
+add("stored_daily_reload", TURNED.format("source_split = 'eval'", "daily"), DAILY_DOUBLES)
+add("stored_hourly_reload", TURNED.format("date_key BETWEEN 20240124 AND 20240127", "hourly"), HOURLY_DOUBLES)
+
+
+def imported_sql(guess: str, condition: str) -> str:
+    return f"""
+SELECT date_key, time_key, store_key, product_key, observed_sales_amount, flag AS stockout_flag, flag AS is_censored_observation,
+       IF(flag, GREATEST(guess, observed_sales_amount), observed_sales_amount) AS estimated_true_demand,
+       IF(flag, GREATEST(guess - observed_sales_amount, 0), 0)::DOUBLE AS estimated_lost_sales,
+       IF(flag, GREATEST(GREATEST(guess, observed_sales_amount) * 0.85::DOUBLE, observed_sales_amount), observed_sales_amount) AS prediction_lower_bound,
+       IF(flag, GREATEST(GREATEST(guess, observed_sales_amount) * 1.15::DOUBLE, observed_sales_amount), observed_sales_amount) AS prediction_upper_bound
+FROM (SELECT *, stockout_flag OR time_key = 5 AS flag, {guess} AS guess FROM hourly WHERE {condition})"""
+
+
+FIRST_DATE = "date_key = (SELECT MIN(date_key) FROM hourly)"
+ESTIMATED = "observed_sales_amount estimated_true_demand estimated_lost_sales prediction_lower_bound prediction_upper_bound"
+add("stored_import", imported_sql(f"IF({FIRST_DATE}, 2.5::DOUBLE, 1.5::DOUBLE)", "TRUE"), ESTIMATED)
+add("stored_import_replaced", imported_sql("2.5::DOUBLE", FIRST_DATE), ESTIMATED)
+add(
+    "stored_import_counts",
+    f"""SELECT COUNT(*) AS demand_estimate_rows, COUNT(DISTINCT (date_key, store_key, product_key)) AS recommendation_rows,
+       (SELECT MIN(full_date) FROM dim_date) AS training_start_date, (SELECT MAX(full_date) FROM dim_date) AS training_end_date,
+       SUM(estimated_true_demand) AS expected_demand FROM ({imported_sql("1.5::DOUBLE", "TRUE")})""",
+    "expected_demand",
+)
+add(
+    "stored_metric_import",
+    """SELECT 'eval' AS evaluation_split, metric_name, CAST(metric_value AS DOUBLE) AS metric_value, DATE '2024-02-01' AS loaded_on
+       FROM (VALUES ('on', 1), ('a_b', 2), ('a_c_d_e_f', 3.5), ('rows', (SELECT COUNT(*) FROM hourly))) AS t(metric_name, metric_value)""",
+    "metric_value",
+)
+add(
+    "stored_reset",
+    """SELECT UNNEST(['observations', 'dim_date', 'dim_time', 'dim_city', 'dim_store', 'dim_product', 'dim_model', 'fact_daily',
+                      'fact_hourly', 'demand_estimates', 'recommendations', 'model_evaluation']) AS table_name,
+              0::BIGINT AS row_count""",
+)
+add(
+    "metrics_flatten_deep",
+    """SELECT 'hour_' || time_key || '_x_y_z_rows' AS metric_name, COUNT(*)::DOUBLE AS metric_value FROM hourly GROUP BY time_key
+       UNION ALL SELECT 'hour_' || time_key || '_x_y', 1::DOUBLE FROM dim_time""",
+    "metric_value",
+)
+add(
+    "sample_head_nulls",
+    """SELECT source_split, store_id, product_id, dt, sale_amount, IF(store_id % 4 > 0, store_id % 3, NULL) AS lead
+       FROM obs WHERE source_split = 'train' ORDER BY lead NULLS FIRST, source_split, store_id, product_id, dt LIMIT 2500""",
+    "sale_amount",
+)
+UNIT = f"('0x' || substr({HASH}, 1, 8))::BIGINT / 4294967296.0::DOUBLE"
+add(
+    "sample_bernoulli_capped",
+    f"""SELECT {KEY}, observed_sales_amount FROM hourly WHERE {UNIT} < 0.2::DOUBLE ORDER BY {KEY} LIMIT 3000""",
+    "observed_sales_amount",
+)
+add(
+    "feature_scan_sampled",
+    f"""SELECT * FROM features WHERE source_split = 'train' AND {UNIT} < 0.5::DOUBLE
+       ORDER BY date_key, source_split, store_key, product_key, time_key LIMIT 4000""",
+    FEATURE_DOUBLES,
+)

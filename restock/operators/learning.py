@@ -5,12 +5,11 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,33 +18,6 @@ from restock.operators.evaluation import predict_hurdle
 from restock.operators.features import feature_columns, null_fill
 
 
-# Inputs of the log-link regressions. Means per store and product stay out: where such a mean is 0
-# every target is 0 too, and the coefficient then runs away instead of converging.
-LOG_LINK_FEATURES = [
-    "is_business_hour_6_22",
-    "is_weekend",
-    "holiday_flag",
-    "discount_rate",
-    "precpt",
-    "avg_temperature",
-    "avg_humidity",
-    "avg_wind_level",
-    *S.CALENDAR_FEATURES,
-    "is_promo_or_discount",
-    "temperature_humidity_index",
-    "product_hour_mean",
-    "category_hour_mean",
-    "product_dow_mean",
-    "category_dow_mean",
-    "product_mean",
-    "category_mean",
-    "global_hour_mean",
-    "global_dow_mean",
-    "product_stockout_rate",
-    "category_stockout_rate",
-]
-
-
 @dataclass(frozen=True)
 class TrainingOptions:
     trees: int = 20
@@ -58,7 +30,6 @@ class TrainingOptions:
     objective: str = "tweedie"
     variance_power: float = 1.4
     subsample: float = 0.9
-    max_iterations: int = 50
 
 
 @dataclass
@@ -81,7 +52,7 @@ class DemandModel:
             value = predict_hurdle(probability, F.col("_log_amount"), prior, self.prior_weight)
         else:
             rows = self.stages["regressor"].transform(rows)
-            value = F.greatest(F.col("_amount"), F.lit(0.0))
+            value = F.expm1("_log_amount") if self.strategy == "direct_log" else F.col("_amount")
         return rows.select("_row.*", F.greatest(value * factor, F.lit(0.0)).alias("prediction"))
 
     def save(self, path: str) -> None:
@@ -116,8 +87,8 @@ def _inputs(train: DataFrame, columns: list[str], labels: dict[str, Column]) ->
     return labelled.select(*labels, *[F.col(name).alias(f"_x_{name}") for name in columns])
 
 
-def _assembler(columns: list[str], prefix: str = "_x_") -> VectorAssembler:
-    return VectorAssembler(inputCols=[f"{prefix}{name}" for name in columns], outputCol="_features")
+def _assembler(columns: list[str]) -> VectorAssembler:
+    return VectorAssembler(inputCols=[f"_x_{name}" for name in columns], outputCol="_features")
 
 
 def _boosted(options: TrainingOptions) -> dict:
@@ -135,45 +106,26 @@ def _boosted(options: TrainingOptions) -> dict:
 def fit_direct(
     train: DataFrame, columns: list[str] | None = None, options: TrainingOptions = TrainingOptions()
 ) -> DemandModel:
-    """One regressor on ``demand_target``: boosted trees for squared error, else a log-link GLM.
+    """One boosted-tree regressor on ``demand_target`` and all inputs.
 
-    The GLM stops without a word when it has not converged, and its predictions are then useless,
-    so that is an error here.
+    The library has squared error only. For Poisson and Tweedie the trees learn log(1 + y), each row
+    weighted by (1 + y) to the power 2 - p: near its minimum the deviance with variance power p is
+    just that squared error.
     """
-    if columns is None:
-        columns = feature_columns() if options.objective == "squared" else LOG_LINK_FEATURES
-    rows = _inputs(train, columns, {"_label": F.col("demand_target")})
-    if options.objective == "squared":
-        regressor = GBTRegressor(labelCol="_label", predictionCol="_amount", **_boosted(options))
-        fitted = Pipeline(stages=[_assembler(columns), regressor]).fit(rows)
-        return DemandModel("direct", columns, {"regressor": fitted})
-    if options.objective not in ("tweedie", "poisson"):
+    columns = columns or feature_columns()
+    squared = options.objective == "squared"
+    powers = {"poisson": 1.0, "tweedie": options.variance_power}
+    if not squared and options.objective not in powers:
         raise ValueError(f"unknown objective {options.objective}")
-    family = {"family": "poisson", "link": "log"}
-    if options.objective == "tweedie":
-        family = {"family": "tweedie", "variancePower": options.variance_power, "linkPower": 0.0}
-    regressor = GeneralizedLinearRegression(
-        featuresCol="_scaled",
-        labelCol="_label",
-        predictionCol="_amount",
-        maxIter=options.max_iterations,
-        regParam=0.01,
-        **family,
-    )
-    # Amounts enter on the scale of the link.
-    logs = ", ".join(f"signum(_x_{name}) * log1p(abs(_x_{name})) AS _log_{name}" for name in columns)
-    logged = SQLTransformer(statement=f"SELECT *, {logs} FROM __THIS__")
-    scaler = StandardScaler(inputCol="_features", outputCol="_scaled", withMean=True, withStd=True)
-    inputs = Pipeline(stages=[logged, _assembler(columns, "_log_"), scaler]).fit(rows)
-    # The regression passes over its rows once per iteration.
-    vectors = inputs.transform(rows).select("_scaled", "_label").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        regression = regressor.fit(vectors)
-    finally:
-        vectors.unpersist()
-    if regression.summary.numIterations >= options.max_iterations:
-        raise RuntimeError("the regression did not converge; raise max_iterations")
-    return DemandModel("direct", columns, {"regressor": PipelineModel(stages=[*inputs.stages, regression])})
+    target = F.col("demand_target")
+    labels = {"_label": target, "_weight": F.lit(1.0)}
+    if not squared:
+        labels = {"_label": F.log1p(target), "_weight": F.pow(target + 1, F.lit(2 - powers[options.objective]))}
+    rows = _inputs(train, columns, labels)
+    amount = "_amount" if squared else "_log_amount"
+    regressor = GBTRegressor(labelCol="_label", weightCol="_weight", predictionCol=amount, **_boosted(options))
+    fitted = Pipeline(stages=[_assembler(columns), regressor]).fit(rows)
+    return DemandModel("direct" if squared else "direct_log", columns, {"regressor": fitted})
 
 
 def fit_hurdle(train: DataFrame, columns: list[str], options: TrainingOptions = TrainingOptions()) -> DemandModel:
@@ -185,7 +137,7 @@ def fit_hurdle(train: DataFrame, columns: list[str], options: TrainingOptions =
     positive = F.col("demand_target") > options.positive_threshold
     counts = train.agg(F.count_if(positive).alias("positive"), F.count_if(~positive).alias("zero")).first()
     if counts.positive == 0 or counts.zero == 0:
-        return fit_direct(train, columns if options.objective == "squared" else None, options)
+        return fit_direct(train, columns, options)
     weight = max(counts.zero / counts.positive, 1.0)
     labels = {
         "_sold": positive.cast("double"),
@@ -205,7 +157,8 @@ def fit_hurdle(train: DataFrame, columns: list[str], options: TrainingOptions =
         "amount": Pipeline(stages=[amount]).fit(_assembler(columns).transform(rows.filter(F.col("_sold") == 1))),
     }
     with_prior = "baseline_demand_prior" in train.columns
-    return DemandModel("hurdle", columns, stages, options.prior_weight if with_prior else 0.0)
+    about = {"positive_rows": counts.positive, "zero_rows": counts.zero, "positive_weight": weight}
+    return DemandModel("hurdle", columns, stages, options.prior_weight if with_prior else 0.0, about)
 
 
 def fit_comparison(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from restock import schema as S
+from restock.session import materialise
 from restock.functions.hours import array_total, business_slice
 
 SUM_TOLERANCE = 0.000001
@@ -93,12 +94,23 @@ def _unique_rule(table: str, df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _reference_rule(table: str, df: DataFrame, key: str, parent: DataFrame) -> DataFrame:
-    """Rows whose key the parent lacks. Rows are counted per key first, so only keys are joined."""
-    per_key = df.groupBy(key).count()
-    orphans = per_key.join(parent.select(key).distinct(), key, "left_anti")
-    total = orphans.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("violations"))
-    return total.select(F.lit(table).alias("table_name"), F.lit(f"reference:{key}").alias("rule_name"), "violations")
+def _reference_rules(table: str, df: DataFrame, parents: dict[str, DataFrame]) -> list[DataFrame]:
+    """Rows whose key a parent lacks, for all keys of a table in one scan.
+
+    Rows are counted per value of each key first, so only values are joined.
+    """
+    keys = list(parents)
+    sets = df.groupingSets([[F.col(key)] for key in keys], *keys)
+    counted = materialise(sets.agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("count")))
+    reports = []
+    for place, (key, parent) in enumerate(parents.items()):
+        # A bit is set for every key that a grouping set leaves out.
+        own = counted.filter(F.col("_set") == 2 ** len(keys) - 1 - 2 ** (len(keys) - 1 - place))
+        orphans = own.select(key, "count").join(parent.select(key).distinct(), key, "left_anti")
+        total = orphans.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("violations"))
+        named = F.lit(table).alias("table_name"), F.lit(f"reference:{key}").alias("rule_name")
+        reports.append(total.select(*named, "violations"))
+    return reports
 
 
 def _not_null(names: list[str]) -> dict[str, Column]:
@@ -163,10 +175,7 @@ def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
     }
     parts = [_unique_rule(t, tables[t], k) for t, all_keys in keys.items() if t in tables for k in all_keys]
     parts += [_domain_rules(t, tables[t], rules) for t, rules in checks.items() if t in tables]
-    parts += [
-        _reference_rule(t, tables[t], key, tables[parents[key]])
-        for t, names in references.items()
-        if t in tables
-        for key in names
-    ]
+    for t, names in references.items():
+        if t in tables:
+            parts += _reference_rules(t, tables[t], {key: tables[parents[key]] for key in names})
     return reduce(DataFrame.unionByName, parts)

@@ -5,11 +5,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from restock.functions.hashing import hash_text, hash_unit
 from restock.operators.ordering import first_rows, ordered_position, running_total
+from restock.session import materialise
 
 
 def resolve_cap(split: str, shared: int | None, per_split: dict[str, int] | None = None) -> int | None:
@@ -181,13 +182,16 @@ def sample_rank(df: DataFrame, groups: list[str], keys: list[str], seed: int) ->
 
 
 def sample_cap_per_group(df: DataFrame, groups: list[str], keys: list[str], n: int, seed: int) -> DataFrame:
-    """At most ceil(n / groups) random rows of each group, then at most n rows by group and rank."""
-    ranked = sample_rank(df, groups, keys, seed)
-    total = ranked.select(*groups).distinct().agg(F.greatest(F.count(F.lit(1)), F.lit(1))).scalar()
-    kept = ranked.withColumn("_quota", F.ceil(F.lit(n).cast("double") / total)).filter(
-        F.col("sample_rank") <= F.col("_quota")
-    )
-    return first_rows(kept.drop("_quota"), [*groups, "sample_rank"], n).drop("sample_rank")
+    """At most ceil(n / groups) random rows of each group, then at most n rows by group and rank.
+
+    With the quota known as a number, every task passes on no more than a quota of each group, so
+    only those rows are shuffled and sorted.
+    """
+    total = max(df.select(*groups).distinct().count(), 1)
+    place = Window.partitionBy(*groups).orderBy("_hash", *keys)
+    ranked = df.withColumn("_hash", hash_text(seed, keys)).withColumn("sample_rank", F.row_number().over(place))
+    kept = materialise(ranked.filter(F.col("sample_rank") <= -(-n // total)).drop("_hash"))
+    return first_rows(kept, [*groups, "sample_rank"], n).drop("sample_rank")
 
 
 def eval_or_train_sample(

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import date
 from functools import reduce, wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from restock import fixtures
@@ -223,6 +223,23 @@ def sample_head(w):
     return sampling.sample_head(train_obs(w).select(*OBS_COLUMNS), OBS_ORDER, 1000)
 
 
+@query
+def sample_head_nulls(w):
+    """More rows than a top-n takes, of an order whose leading column is null for one store in four."""
+    rows = train_obs(w).select(*OBS_COLUMNS).withColumn("lead", F.when(F.col("store_id") % 4 > 0, F.col("store_id") % 3))
+    return sampling.sample_head(rows, ["lead", *OBS_ORDER], 2500)
+
+
+@query
+def sample_bernoulli_capped(w):
+    return sampling.sample_bernoulli(w.fact_hourly.select(*HOUR_COLUMNS), S.HOURLY_KEY, 0.2, SEED, cap=3000)
+
+
+@query
+def feature_scan_sampled(w):
+    return files.feature_scan(w.training_features, split="train", sample_rate=0.5, seed=SEED, limit=4000)
+
+
 @query
 def sample_even(w):
     return sampling.sample_even(train_obs(w).select(*OBS_COLUMNS), OBS_ORDER, 1000)
@@ -1067,57 +1084,179 @@ def fit_rows(w: ExampleWarehouse) -> DataFrame:
     return prepared(w).filter((F.col("part") == features.FIT) & F.col("is_trainable_demand_observation"))
 
 
+def _once(w: ExampleWarehouse, name: str, fit: Callable[[], learning.DemandModel]) -> learning.DemandModel:
+    """A model of the warehouse, fitted on first use."""
+    models_of = w.__dict__.setdefault("fitted_models", {})
+    if name not in models_of:
+        models_of[name] = fit()
+    return models_of[name]
+
+
 def _predicted(w: ExampleWarehouse, model: learning.DemandModel) -> DataFrame:
     held_out = prepared(w).filter(F.col("part") == features.EVAL)
     return model.predict(held_out).select(*S.HOURLY_KEY, "demand_target", "prediction")
 
 
+def _facts(predicted: DataFrame, keys: list[str]) -> DataFrame:
+    """What holds for any sound model: every row is scored once and no prediction is missing or negative."""
+    return predicted.agg(
+        F.count(F.lit(1)).alias("rows_scored"),
+        F.count_distinct(*keys).alias("keys_scored"),
+        F.count_if(F.col("prediction") < 0).alias("negative_rows"),
+        F.count_if(F.col("prediction").isNull()).alias("missing_rows"),
+    )
+
+
+def _fits_better(model: learning.DemandModel, fit: DataFrame, objective: str) -> Column:
+    """Whether the loss on the fit rows is below that of the best constant, on the scale the trees learn."""
+    power = {"squared": None, "tweedie": 2 - SMALL.variance_power, "poisson": 1.0}[objective]
+    target, prediction = F.col("demand_target"), F.col("prediction")
+    scale = (lambda value: value) if power is None else F.log1p
+    weight = F.lit(1.0) if power is None else F.pow(target + 1, F.lit(power))
+    rows = model.predict(fit).select(weight.alias("w"), scale(target).alias("y"), scale(prediction).alias("p"))
+    w, y = F.col("w"), F.col("y")
+    loss = F.sum(w * (y - F.col("p")) ** 2)
+    constant = F.sum(w * y * y) - F.sum(w * y) * F.sum(w * y) / F.sum(w)
+    return rows.agg((loss < constant).alias("better")).scalar()
+
+
+def hurdle_model(w: ExampleWarehouse) -> learning.DemandModel:
+    return _once(w, "hurdle", lambda: learning.fit_hurdle(fit_rows(w), features.feature_columns(), SMALL))
+
+
+def direct_model(w: ExampleWarehouse, objective: str) -> learning.DemandModel:
+    options = learning.TrainingOptions(trees=5, depth=4, objective=objective)
+    return _once(w, objective, lambda: learning.fit_direct(fit_rows(w), options=options))
+
+
 @query
 def fit_hurdle(w):
-    return _predicted(w, learning.fit_hurdle(fit_rows(w), features.feature_columns(), SMALL))
+    return _predicted(w, hurdle_model(w))
+
+
+@query
+def fit_hurdle_facts(w):
+    """With the class sizes and the weight of positive rows that the fit has used."""
+    model = hurdle_model(w)
+    used = {name: F.lit(value) for name, value in model.metadata.items()}
+    return _facts(_predicted(w, model), S.HOURLY_KEY).withColumns(used)
 
 
 @query
 def fit_direct(w):
-    options = learning.TrainingOptions(objective="tweedie")
-    return _predicted(w, learning.fit_direct(fit_rows(w), options=options))
+    return _predicted(w, direct_model(w, "tweedie"))
+
+
+@query
+def fit_direct_facts(w):
+    model = direct_model(w, "tweedie")
+    better = _fits_better(model, fit_rows(w), "tweedie")
+    return _facts(_predicted(w, model), S.HOURLY_KEY).withColumn("fits_better", better)
 
 
 @query
 def fit_direct_poisson(w):
-    options = learning.TrainingOptions(objective="poisson")
-    return _predicted(w, learning.fit_direct(fit_rows(w), options=options))
+    return _predicted(w, direct_model(w, "poisson"))
+
+
+@query
+def fit_direct_poisson_facts(w):
+    model = direct_model(w, "poisson")
+    better = _fits_better(model, fit_rows(w), "poisson")
+    return _facts(_predicted(w, model), S.HOURLY_KEY).withColumn("fits_better", better)
 
 
 @query
 def fit_direct_squared(w):
-    options = learning.TrainingOptions(trees=5, depth=4, objective="squared")
-    return _predicted(w, learning.fit_direct(fit_rows(w), features.feature_columns(), options))
+    return _predicted(w, direct_model(w, "squared"))
 
 
 @query
-def fit_comparison(w):
-    rows = comparison.latent_target(comparison.comparison_context(comparison_hours(w)))
-    kept = rows.withColumns({f"key_{name}": F.col(name) for name in COMPARISON_KEY})
-    names = [f"key_{name}" for name in COMPARISON_KEY] + ["true_demand"]
-    clean = materialise(comparison.comparison_clean(kept, names))
-    train = clean.filter(F.col("key_source_split") == "train")
-    encoded = materialise(comparison.comparison_encode(clean, train))
-    model = learning.fit_comparison(encoded.filter(F.col("key_source_split") == "train"), "true_demand")
+def fit_direct_squared_facts(w):
+    model = direct_model(w, "squared")
+    better = _fits_better(model, fit_rows(w), "squared")
+    return _facts(_predicted(w, model), S.HOURLY_KEY).withColumn("fits_better", better)
+
+
+def comparison_encoded(w: ExampleWarehouse) -> DataFrame:
+    if not hasattr(w, "encoded_comparison"):
+        rows = comparison.latent_target(comparison.comparison_context(comparison_hours(w)))
+        kept = rows.withColumns({f"key_{name}": F.col(name) for name in COMPARISON_KEY})
+        clean = materialise(comparison.comparison_clean(kept, [f"key_{name}" for name in COMPARISON_KEY] + ["true_demand"]))
+        train = clean.filter(F.col("key_source_split") == "train")
+        w.encoded_comparison = materialise(comparison.comparison_encode(clean, train))
+    return w.encoded_comparison
+
+
+def _comparison_predicted(w: ExampleWarehouse) -> DataFrame:
+    encoded = comparison_encoded(w)
+    train = encoded.filter(F.col("key_source_split") == "train")
+    options = learning.TrainingOptions(trees=5, depth=4)
+    model = _once(w, "comparison", lambda: learning.fit_comparison(train, "true_demand", options=options))
     held_out = encoded.filter(F.col("key_source_split") == "eval")
+    names = [f"key_{name}" for name in COMPARISON_KEY] + ["true_demand"]
     return model.predict(held_out).select(*names, "prediction")
 
 
+@query
+def fit_comparison(w):
+    return _comparison_predicted(w)
+
+
+@query
+def fit_comparison_facts(w):
+    return _facts(_comparison_predicted(w), [f"key_{name}" for name in COMPARISON_KEY])
+
+
+def base_model(w: ExampleWarehouse) -> learning.DemandModel:
+    options = learning.TrainingOptions(trees=2, depth=3, objective="squared")
+    return _once(w, "base", lambda: learning.fit_direct(fit_rows(w), S.BASE_FEATURES, options))
+
+
 @query
 def save_and_load_model(w):
-    model = learning.fit_direct(fit_rows(w), S.BASE_FEATURES, learning.TrainingOptions(trees=2, depth=3, objective="squared"))
     path = f"{shared_folder(w.spark)}/models/base"
-    model.save(path)
+    base_model(w).save(path)
     return _predicted(w, learning.DemandModel.load(path))
 
 
+@query
+def save_and_load_model_facts(w):
+    """Rows that the loaded model scores, and how many of them unlike the saved one."""
+    path = f"{shared_folder(w.spark)}/models/base_again"
+    base_model(w).save(path)
+    again = _predicted(w, learning.DemandModel.load(path)).withColumnRenamed("prediction", "again")
+    both = _predicted(w, base_model(w)).join(again.drop("demand_target"), S.HOURLY_KEY)
+    return both.agg(F.count(F.lit(1)).alias("rows_scored"), F.count_if(F.col("prediction") != F.col("again")).alias("differing_rows"))
+
+
+def training_run(w: ExampleWarehouse):
+    if not hasattr(w, "run_once"):
+        w.run_once = train_job(w.training_features, SMALL, prepared=prepared(w))
+    return w.run_once
+
+
 @query
 def train_job_metrics(w):
     """A whole training run; the result is its rows of the evaluation fact."""
-    run = train_job(w.training_features, SMALL, prepared=prepared(w))
-    return run.evaluation(3)
+    return training_run(w).evaluation(3)
+
+
+@query
+def train_job_facts(w):
+    """Rows judged in both parts, and whether the factor keeps to its bounds."""
+    run = training_run(w)
+    bounded = 0.25 <= run.factor <= 5.0
+    sizes = run.calibration.agg(F.count(F.lit(1)).alias("calibration_rows"))
+    judged = run.held_out.agg(F.count(F.lit(1))).scalar()
+    return sizes.select("calibration_rows", judged.alias("judged_rows"), F.lit(bounded).alias("factor_bounded"))
+
+
+@query
+def temporal_holdout_one_date(w):
+    """A share that leaves one date: the last train date calibrates, the others fit."""
+    rows = features.temporal_holdout(w.training_features, 0.0001)
+    return rows.groupBy("part").agg(F.count(F.lit(1)).alias("hourly_rows"), F.count_distinct("full_date").alias("dates"))
+
+
+from restock.plans import stored  # noqa: E402, F401 - registers the queries on stored tables

@@ -165,8 +165,7 @@ def train_job(
     if strategy == "hurdle":
         model = learning.fit_hurdle(fit, columns, options)
     else:
-        log_link = advanced and options.objective != "squared"
-        model = learning.fit_direct(fit, None if log_link else columns, options)
+        model = learning.fit_direct(fit, columns, options)
 
     judged = ["demand_target", "is_business_hour_6_22", "is_weekend", "is_promo_or_discount", "part", "prediction"]
     on_eval = usable.filter(F.col("part") == features.EVAL)
