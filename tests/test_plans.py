@@ -4,10 +4,12 @@ import re
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from restock.operators import decisions, demand
+from restock.operators import decisions, demand, quality
 from restock.sources import files
+from restock.sources.tables import touched_partitions
 
 
 def plan(df):
@@ -38,6 +40,29 @@ def test_model_key_prunes_estimates(warehouse):
     assert re.search(r"PartitionFilters: \[[^\]]*model_key", text)
 
 
+@pytest.mark.parametrize("name", ["kpi_by_day", "decision_scores", "queue_diverse", "model_quality_latest", "latest_model_with_predictions"])
+def test_active_model_opens_no_estimates(spark, folder, name):
+    assert "/demand_estimates" not in plan(entry.queries()[name](spark, folder))
+
+
+def test_upsert_opens_only_touched_partitions(spark, warehouse):
+    incoming = warehouse.fact_daily.filter(F.col("date_key") == 20240105)
+    text = plan(touched_partitions(warehouse.fact_daily, incoming, ("date_key",)))
+    assert re.search(r"PartitionFilters: \[[^\]]*date_key[^\]]*20240105", text) and "20240106" not in text
+    incoming = warehouse.demand_estimates.filter((F.col("date_key") == 20240105) & (F.col("model_key") == 2))
+    touched = touched_partitions(warehouse.demand_estimates, incoming, ("model_key", "date_key"))
+    assert touched.count() == incoming.count() and re.search(r"PartitionFilters: \[[^\]]*model_key", plan(touched))
+    both = incoming.unionByName(warehouse.demand_estimates.filter("date_key = 20240106 AND model_key = 1"))
+    assert touched_partitions(warehouse.demand_estimates, both, ("model_key", "date_key")).count() == both.count()
+    assert touched_partitions(warehouse.fact_daily, incoming.limit(0), ("date_key",)).isEmpty()
+
+
+def test_references_of_a_table_take_one_scan(warehouse):
+    parents = {key: warehouse.dim_date.select(F.col("date_key").alias(key)) for key in ("date_key", "time_key")}
+    for report in quality._reference_rules("fact_hourly", warehouse.fact_hourly, parents):
+        assert "/fact_hourly" not in plan(report)
+
+
 def test_rank_filter_limits_before_the_shuffle(spark, folder):
     assert "WindowGroupLimit" in plan(entry.queries()["rank_per_action"](spark, folder))
 
