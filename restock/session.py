@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -17,6 +18,7 @@ RUNTIME_SETTINGS = {
 
 _CHECKPOINT_SETTING = "spark.checkpoint.dir"
 _local_folders: dict[str, str] = {}
+_cleared_at_exit: set[str] = set()
 
 
 def build_session(master: str | None = None, app_name: str = "restock", **settings: str) -> SparkSession:
@@ -66,9 +68,25 @@ def materialise(df: DataFrame) -> DataFrame:
     """Compute rows once and read them back from the shared folder.
 
     Unlike a cache this cuts the lineage, and unlike a checkpoint later steps read only the columns
-    they need and plan their joins with the real size.
+    they need and plan their joins with the real size. The rows are removed by :func:`clear_steps`,
+    at the latest when the driver ends.
     """
     spark = df.sparkSession
+    application = spark.sparkContext.applicationId
+    if application not in _cleared_at_exit:
+        _cleared_at_exit.add(application)
+        atexit.register(_clear_if_running, spark)
     path = f"{shared_folder(spark)}/steps/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_steps(spark: SparkSession) -> None:
+    """Remove the steps this application has written. Call it when no DataFrame that reads them is left."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/steps")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _clear_if_running(spark: SparkSession) -> None:
+    if spark.sparkContext._jsc is not None:
+        clear_steps(spark)

@@ -147,3 +147,21 @@ def test_training_without_eval_rows_judges_a_sample(loaded):
     run = jobs.train_job(only_train, options, "direct", advanced=False, objective="bias", calibrate_on="eval", cap=2000, mode="random")
     assert run.held_out.count() == 2000
     assert run.factor == pytest.approx(min(max(run.raw_factor, 0.25), 5.0))
+
+
+def test_steps_can_be_cleared(spark, loaded):
+    """A job leaves steps for lazy readers; nothing of them is left after they are cleared."""
+    import os
+
+    from restock.session import clear_steps, materialise, shared_folder
+
+    steps = f"{shared_folder(spark)}/steps"
+    rows = materialise(spark.range(5))
+    assert rows.count() == 5 and os.listdir(steps)
+    kept = f"{steps}-kept"
+    os.rename(steps, kept)
+    os.makedirs(steps)
+    materialise(spark.range(3))
+    clear_steps(spark)
+    assert not os.path.exists(steps)
+    os.rename(kept, steps)
