@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from restock.session import prepare, shared_folder
+from restock.session import materialise, prepare
+
+# Rows computed once and read back from the shared folder; a lost executor loses none of them.
+written = materialise
 
 SETTINGS = {
     # Rows per Arrow batch: whole texts may be long, so a batch holds few of them.
@@ -29,13 +31,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame) -> DataFrame:
-    """Rows computed once and read back from the shared folder; a lost executor loses none of them."""
-    path = f"{shared_folder(df.sparkSession)}/llm/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def remainder(doc_id: str | Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo the divisor; null for a null id."""
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % divisor
