@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from restock import schema as S
+from restock.operators.features import grouped_once, join_history
 from restock.operators.ordering import ordered_position
 from restock.session import materialise
 
@@ -63,15 +64,14 @@ def comparison_context(hourly: DataFrame) -> DataFrame:
         "days_since_last_sale", F.coalesce((_clock() - last_sale) / 24.0, F.lit(-1.0))
     )
 
-    def with_history(df: DataFrame, owner: str, name: str, frame: tuple[int, int]) -> DataFrame:
-        keys = ["source_split", owner, "dt", "hour"]
-        totals = df.groupBy(*keys).agg(F.sum("units_ordered").alias("_units"))
-        order = Window.partitionBy("source_split", owner).orderBy("dt", "hour").rowsBetween(*frame)
-        history = totals.withColumn(name, F.coalesce(F.sum("_units").over(order), F.lit(0.0)))
-        return df.join(history.drop("_units"), keys, "left")
-
-    with_stores = with_history(rows, "store_id", "store_traffic_lag_1h", (-1, -1))
-    return with_history(with_stores, "product_category", "category_momentum", (-24, -1))
+    histories = {"store_id": ("store_traffic_lag_1h", -1), "product_category": ("category_momentum", -24)}
+    keys = [["source_split", owner, "dt", "hour"] for owner in histories]
+    totals = grouped_once(hourly, keys, [F.sum("units_ordered").alias("_units")])
+    for own_keys, sums, (owner, (name, first)) in zip(keys, totals, histories.items(), strict=True):
+        order = Window.partitionBy("source_split", owner).orderBy("dt", "hour").rowsBetween(first, -1)
+        history = sums.withColumn(name, F.coalesce(F.sum("_units").over(order), F.lit(0.0)))
+        rows = join_history(rows, history.drop("_units"), own_keys)
+    return rows
 
 
 BASELINES = {

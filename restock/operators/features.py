@@ -36,18 +36,13 @@ def temporal_holdout(features: DataFrame, fraction: float = 0.15) -> DataFrame:
     is_eval = F.col("source_split") == "eval"
     if fraction <= 0:
         return features.withColumn("part", F.when(is_eval, EVAL).otherwise(FIT))
-    train = features.filter(~is_eval)
-    train_dates = train.select("full_date").distinct()
-    if train_dates.limit(2).count() < 2:
+    # The calendar is short, so it is fetched once and the cut is a literal for all later scans.
+    dates = sorted(row.full_date for row in features.filter(~is_eval).select("full_date").distinct().collect())
+    if len(dates) < 2:
         return _positional_holdout(features, fraction)
-    # The sorted calendar is one small array.
-    calendar = train_dates.agg(F.array_sort(F.collect_list("full_date")).alias("dates"))
-    days = F.size("dates")
-    tail = F.greatest(F.lit(1), F.least(F.ceil(days * F.lit(fraction)).cast("int"), days - 1))
-    last_fit = calendar.select(F.element_at("dates", days - tail)).scalar()
-    return features.withColumn(
-        "part", F.when(is_eval, EVAL).when(F.col("full_date") > last_fit, CALIBRATION).otherwise(FIT)
-    )
+    tail = max(1, min(math.ceil(len(dates) * fraction), len(dates) - 1))
+    in_tail = F.col("full_date") > F.lit(dates[-tail - 1])
+    return features.withColumn("part", F.when(is_eval, EVAL).when(in_tail, CALIBRATION).otherwise(FIT))
 
 
 def _positional_holdout(features: DataFrame, fraction: float) -> DataFrame:
@@ -139,28 +134,44 @@ _STORE_HOUR = ["source_split", "store_id", "date_key", "time_key"]
 _CATEGORY_HOUR = ["source_split", "first_category_id", "date_key", "time_key"]
 
 
-def store_history(features: DataFrame) -> DataFrame:
+def store_history(features: DataFrame, per_hour: DataFrame | None = None) -> DataFrame:
     """The store's sales in its previous hour, 0 before the first: one row per store and hour."""
     order = Window.partitionBy("source_split", "store_id").orderBy("date_key", "time_key")
     traffic = F.coalesce(F.lag("_sales", 1).over(order), F.lit(0.0))
-    return _per_hour(features, "store_id").select(*_STORE_HOUR, traffic.alias("store_traffic_lag_1h"))
+    sums = _per_hour(features, "store_id") if per_hour is None else per_hour
+    return sums.select(*_STORE_HOUR, traffic.alias("store_traffic_lag_1h"))
 
 
-def category_history(features: DataFrame, rows: int = 24) -> DataFrame:
+def category_history(features: DataFrame, rows: int = 24, per_hour: DataFrame | None = None) -> DataFrame:
     """The category's sales over its 24 hours before this one: one row per category and hour."""
     order = Window.partitionBy("source_split", "first_category_id").orderBy("date_key", "time_key")
     momentum = F.coalesce(F.sum("_sales").over(order.rowsBetween(-rows, -1)), F.lit(0.0))
-    return _per_hour(features, "first_category_id").select(
-        *_CATEGORY_HOUR, momentum.alias(f"category_momentum_{rows}h")
-    )
+    sums = _per_hour(features, "first_category_id") if per_hour is None else per_hour
+    return sums.select(*_CATEGORY_HOUR, momentum.alias(f"category_momentum_{rows}h"))
+
+
+# A history of up to this many rows (some 50 bytes each) is sent to every task; a longer one is shuffled.
+HISTORY_ROWS = 1_000_000
+
+
+def join_history(rows: DataFrame, history: DataFrame, keys: list[str]) -> DataFrame:
+    """Join one row per owner and hour to the wide hourly rows.
+
+    A category can hold a quarter of an hour's rows, so the rows stay where they are as long as the
+    written history is known to be small.
+    """
+    stored = materialise(history)
+    if stored.limit(HISTORY_ROWS + 1).count() <= HISTORY_ROWS:
+        stored = F.broadcast(stored)
+    return rows.join(stored, keys, "left")
 
 
 def store_traffic(features: DataFrame) -> DataFrame:
-    return features.join(store_history(features), _STORE_HOUR, "left")
+    return join_history(features, store_history(features), _STORE_HOUR)
 
 
 def category_momentum(features: DataFrame) -> DataFrame:
-    return features.join(category_history(features), _CATEGORY_HOUR, "left")
+    return join_history(features, category_history(features), _CATEGORY_HOUR)
 
 
 # Cells from which every prior is rolled up.
@@ -173,16 +184,30 @@ def _cells(features: DataFrame) -> DataFrame:
     Written once: every prior is rolled up from this table, so the features are scanned once for
     all of them, and the joins are planned with its real size.
     """
+    return materialise(features.groupBy(*_CELL).agg(*_cell_sums()))
+
+
+def _cell_sums() -> list[Column]:
     fit = F.col("part") == FIT
     sold = F.when(fit & F.col("is_trainable_demand_observation"), F.col("observed_sales_amount"))
     flagged = F.when(fit, F.col("stockout_flag").cast("int"))
-    cells = features.groupBy(*_CELL).agg(
+    return [
         F.sum(sold).alias("_sum"),
         F.count(sold).alias("_count"),
         F.sum(flagged).alias("_flagged"),
         F.count(flagged).alias("_rows"),
-    )
-    return materialise(cells)
+    ]
+
+
+def grouped_once(rows: DataFrame, sets: list[list[str]], sums: list[Column]) -> list[DataFrame]:
+    """The same sums by several groupings, from one scan: a written table, read once per grouping."""
+    keys = list(dict.fromkeys(key for names in sets for key in names))
+    grouped = rows.groupingSets([[F.col(name) for name in names] for names in sets], *keys)
+    stored = materialise(grouped.agg(F.grouping_id().alias("_set"), *sums))
+    values = [name for name in stored.columns if name not in (*keys, "_set")]
+    # A bit, from the first key down, is set for every key that a grouping leaves out.
+    numbers = [sum((key not in names) << place for place, key in enumerate(reversed(keys))) for names in sets]
+    return [stored.filter(F.col("_set") == n).select(*names, *values) for n, names in zip(numbers, sets, strict=True)]
 
 
 def _mean_table(cells: DataFrame, group: str, keys: list[str]) -> DataFrame:
@@ -271,14 +296,15 @@ def prepare_features(features: DataFrame, fraction: float = 0.15, advanced: bool
     parts = temporal_holdout(demand_target(features), fraction)
     if not advanced:
         return parts
-    # All statistics are taken from the plain rows, so no step repeats the joins of another.
-    timed = (
-        promo_weather(cyclic_time(lags(parts)))
-        .join(store_history(parts), _STORE_HOUR, "left")
-        .join(category_history(parts), _CATEGORY_HOUR, "left")
+    # All statistics come from one scan of the plain rows, so no step repeats the joins of another.
+    cells, by_store, by_category = grouped_once(
+        parts, [_CELL, _STORE_HOUR, _CATEGORY_HOUR], [*_cell_sums(), F.sum("observed_sales_amount").alias("_sales")]
     )
-    enriched = _priors(timed, _cells(parts), means=True, rates=True)
-    overall = _overall_mean(parts)
+    timed = promo_weather(cyclic_time(lags(parts)))
+    timed = join_history(timed, store_history(parts, by_store), _STORE_HOUR)
+    timed = join_history(timed, category_history(parts, per_hour=by_category), _CATEGORY_HOUR)
+    enriched = _priors(timed, cells, means=True, rates=True)
+    overall = cells.agg(F.try_divide(F.sum("_sum"), F.sum("_count"))).scalar()
     # Flags stay what they are for the segments; the model reads them as numbers later.
     return _with_baseline(enriched, overall).fillna(0.0, _prior_columns())
 

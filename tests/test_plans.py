@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from restock.operators import decisions, demand, quality
+from restock.operators import decisions, demand, features, quality
 from restock.sources import files
 from restock.sources.tables import touched_partitions
 
@@ -57,6 +57,13 @@ def test_upsert_opens_only_touched_partitions(spark, warehouse):
     assert touched_partitions(warehouse.fact_daily, incoming.limit(0), ("date_key",)).isEmpty()
 
 
+def test_features_scan_the_fact_once_and_keep_wide_rows_in_place(spark, folder, warehouse):
+    text = plan(features.prepare_features(warehouse.training_features))
+    assert len(re.findall(r"Location: \S+\[[^\]]*/fact_hourly\]", text)) == 1
+    # The two histories are joined by broadcast; only pair-level roll-ups may shuffle the rows.
+    assert not re.search(r"SortMergeJoin \[source_split[^\]]*, (store_id|first_category_id)[^\]]*, date_key", text)
+
+
 def test_references_of_a_table_take_one_scan(warehouse):
     parents = {key: warehouse.dim_date.select(F.col("date_key").alias(key)) for key in ("date_key", "time_key")}
     for report in quality._reference_rules("fact_hourly", warehouse.fact_hourly, parents):
