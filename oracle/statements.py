@@ -875,7 +875,7 @@ add("latent_target_observed", f"SELECT {CKEY}, GREATEST(units_ordered, 0) AS tru
 CLEAN_NUMBERS = "discount stock_on_hand selling_price product_price store_traffic_lag_1h category_momentum days_since_last_sale"
 add("comparison_clean", "SELECT * FROM comp_clean", CLEAN_NUMBERS)
 CATEGORIES = "product_id location store_id product_category product_subcategory holiday is_promotion day_of_week week_of_year month year hour stockout_flag".split()
-FIT = "(SELECT * FROM comp_clean WHERE key_source_split = 'train' AND key_store_id < 8)"
+FIT = "(SELECT * FROM comp_clean WHERE key_source_split = 'train')"
 ENCODED = ", ".join(
     f"COALESCE((SELECT code FROM codes WHERE column_name = '{c}' AND codes.value = comp_clean.{c}), -2) AS {c}" for c in CATEGORIES
 )

@@ -43,9 +43,13 @@ def baseline_cells(hourly: DataFrame, products: DataFrame) -> DataFrame:
     return materialise(result.select(*finest, *BASELINE_LEVELS))
 
 
-def baseline_averages(hourly: DataFrame, products: DataFrame) -> DataFrame:
+def with_baselines(hourly: DataFrame, cells: DataFrame) -> DataFrame:
     """The hourly fact with the five averages beside each row: one join, on the finest key."""
-    return hourly.join(baseline_cells(hourly, products), BASELINE_LEVELS["store_product_hour_avg"], "left")
+    return hourly.join(cells, BASELINE_LEVELS["store_product_hour_avg"], "left")
+
+
+def baseline_averages(hourly: DataFrame, products: DataFrame) -> DataFrame:
+    return with_baselines(hourly, baseline_cells(hourly, products))
 
 
 def fallback_choice(observed: Column) -> Column:
@@ -75,11 +79,9 @@ def model_estimates(estimates: DataFrame, active: Column) -> DataFrame:
     )
 
 
-def hourly_demand_estimate(
-    hourly: DataFrame, products: DataFrame, estimates: DataFrame, active: Column
-) -> DataFrame:
+def hourly_demand_estimate(hourly: DataFrame, cells: DataFrame, estimates: DataFrame, active: Column) -> DataFrame:
     """Heuristic estimates, overridden row by row where the active model has one."""
-    heuristic = heuristic_demand(baseline_averages(hourly, products))
+    heuristic = heuristic_demand(with_baselines(hourly, cells))
     joined = heuristic.join(model_estimates(estimates, active), S.HOURLY_KEY, "left")
     modelled = F.col("_has_model").isNotNull()
     basis = F.when(modelled, "model").when(F.col("stockout_flag"), "stockout").otherwise("observed")

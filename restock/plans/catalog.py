@@ -617,7 +617,7 @@ def queue_saturation(w):
 
 @query
 def baseline_averages(w):
-    rows = demand.baseline_averages(w.fact_hourly, w.dim_product)
+    rows = demand.with_baselines(w.fact_hourly, w.baseline_cells)
     return rows.select(*S.HOURLY_KEY, *demand.BASELINE_LEVELS)
 
 
@@ -760,14 +760,14 @@ def constraint_report_broken(w):
 
 @query
 def fallback_choice(w):
-    rows = demand.baseline_averages(w.fact_hourly, w.dim_product)
+    rows = demand.with_baselines(w.fact_hourly, w.baseline_cells)
     chosen = demand.fallback_choice(F.col("observed_sales_amount"))
     return rows.select(*S.HOURLY_KEY, chosen.alias("baseline"))
 
 
 @query
 def heuristic_demand(w):
-    rows = demand.heuristic_demand(demand.baseline_averages(w.fact_hourly, w.dim_product))
+    rows = demand.heuristic_demand(demand.with_baselines(w.fact_hourly, w.baseline_cells))
     return rows.select(*S.HOURLY_KEY, "heuristic_true_demand", "heuristic_lost_sales")
 
 
@@ -1005,10 +1005,9 @@ def comparison_clean(w):
 
 @query
 def comparison_encode(w):
-    """Codes are fitted on the first stores' train rows, so later stores are unknown."""
+    """Codes are fitted on all train rows; weeks that only the eval split reaches are unknown."""
     clean = _comparison_clean(w)
-    fit = clean.filter((F.col("key_source_split") == "train") & (F.col("key_store_id") < 8))
-    return comparison.comparison_encode(clean, fit)
+    return comparison.comparison_encode(clean, clean.filter(F.col("key_source_split") == "train"))
 
 
 # Models, evaluation and calibration.

@@ -40,6 +40,9 @@ PARTITIONS = {
     "recommendations": ("model_key", "date_key"),
 }
 
+# Rows of a date lie together by store and product, so a drill-down skips most of its file.
+ORDERS = {name: ("store_key", "product_key") for name in PARTITIONS if name != "observations"}
+
 VIEWS = ("training_features", "restock_monitor", "hourly_demand_estimate", "decision_inputs", "decision_scores")
 
 
@@ -52,7 +55,7 @@ class Warehouse:
         self._source = source
 
     def _store(self, name: str, df: DataFrame) -> DataFrame:
-        return self.tables.write(df, name, SCHEMAS[name], PARTITIONS.get(name, ()))
+        return self.tables.write(df, name, SCHEMAS[name], PARTITIONS.get(name, ()), ORDERS.get(name, ()))
 
     @cached_property
     def observations(self) -> DataFrame:
@@ -138,10 +141,15 @@ class Warehouse:
     def active_model(self) -> Column:
         return models.active_model(self.dim_model, self.model_output)
 
+    @cached_property
+    def baseline_cells(self) -> DataFrame:
+        """The averages behind the heuristic, written once for all views until hours or products change."""
+        return demand.baseline_cells(self.fact_hourly, self.dim_product)
+
     @cached_property
     def hourly_demand_estimate(self) -> DataFrame:
         return demand.hourly_demand_estimate(
-            self.fact_hourly, self.dim_product, self.demand_estimates, self.active_model
+            self.fact_hourly, self.baseline_cells, self.demand_estimates, self.active_model
         )
 
     @cached_property
@@ -167,8 +175,10 @@ class Warehouse:
 
     def _upsert(self, name: str, incoming: DataFrame, keys: list[str], **rules) -> None:
         partitions = PARTITIONS.get(name, ())
-        table = self.tables.upsert(incoming, name, SCHEMAS[name], keys, partitions, **rules)
+        table = self.tables.upsert(incoming, name, SCHEMAS[name], keys, partitions, ORDERS.get(name, ()), **rules)
         self._forget(VIEWS)
+        if name in ("fact_hourly", "dim_product"):
+            self._forget(["baseline_cells"])
         setattr(self, name, table)
 
     def _forget(self, names) -> None:
@@ -248,7 +258,7 @@ class Warehouse:
     def reset(self) -> None:
         """Empty all tables."""
         self.tables.truncate(SCHEMAS)
-        self._forget([*SCHEMAS, *VIEWS])
+        self._forget([*SCHEMAS, *VIEWS, "baseline_cells"])
         for name in SCHEMAS:
             setattr(self, name, self.tables.read(name, SCHEMAS[name]))
         self.tables.truncate({"model_output": S.MODEL_OUTPUT})

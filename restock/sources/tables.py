@@ -38,7 +38,13 @@ class TableFolder:
         return table if schema is None else table.select(*schema.names)
 
     def write(
-        self, df: DataFrame, name: str, schema: StructType, partition_by: tuple[str, ...] = (), mode: str = "overwrite"
+        self,
+        df: DataFrame,
+        name: str,
+        schema: StructType,
+        partition_by: tuple[str, ...] = (),
+        order_by: tuple[str, ...] = (),
+        mode: str = "overwrite",
     ) -> DataFrame:
         """Write and return the table as read back.
 
@@ -47,7 +53,8 @@ class TableFolder:
         """
         rows = df.select(*[df[field.name].cast(field.dataType) for field in schema])
         if partition_by:
-            writer = rows.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
+            spread = rows.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *order_by)
+            writer = spread.write.partitionBy(*partition_by)
         else:
             writer = rows.write
         writer.mode(mode).option("compression", "zstd").parquet(self.location(name))
@@ -64,6 +71,7 @@ class TableFolder:
         schema: StructType,
         keys: list[str],
         partition_by: tuple[str, ...] = (),
+        order_by: tuple[str, ...] = (),
         **rules,
     ) -> DataFrame:
         """Upsert into the table, reading and rewriting only the partitions found in the incoming rows.
@@ -73,11 +81,11 @@ class TableFolder:
         """
         if not self.exists(name):
             require_unique(incoming, keys)
-            return self.write(incoming, name, schema, partition_by)
+            return self.write(incoming, name, schema, partition_by, order_by)
         existing = self.read(name, schema)
         if partition_by:
             existing = touched_partitions(existing, incoming, partition_by)
-        return self.write(upsert(existing, incoming, keys, **rules).checkpoint(), name, schema, partition_by)
+        return self.write(upsert(existing, incoming, keys, **rules).checkpoint(), name, schema, partition_by, order_by)
 
     def drop_partition(self, name: str, column: str, value) -> None:
         """Remove one value of the first partition column, with its files."""
