@@ -131,42 +131,39 @@ def mixed(
     """
     spark = ready(docs.sparkSession)
     docs = docs.drop("mix_block", "mix_slot", "mix_phase", "mix_release", "mix_deadline")
-    key, mark, bucket, rank = (fresh(docs, name) for name in ("_source", "_mark", "_bucket", "_rank"))
+    names = ("_source", "_mark", "_bucket", "_rank", "_n", "_before", "_of", "_plan")
+    key, mark, bucket, rank, n, before, of, place = (fresh(docs, name) for name in names)
     # A null source is told from every text by a leading sign.
     keyed = docs.withColumn(key, F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("-")))
     keyed = keyed.withColumn(mark, F.xxhash64(*docs.columns)).withColumn(bucket, F.pmod(mark, F.lit(BUCKETS)))
-    counts = keyed.groupBy(key, bucket).agg(F.count(F.lit(1)).alias("_n"))
-    sizes = {row[0]: row[1] for row in counts.groupBy(key).agg(F.sum("_n")).limit(MOST_SOURCES + 1).collect()}
+    counts = keyed.groupBy(key, bucket).agg(F.count(F.lit(1)).alias(n))
+    sizes = {row[0]: row[1] for row in counts.groupBy(key).agg(F.sum(n)).limit(MOST_SOURCES + 1).collect()}
     if len(sizes) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources: group small ones first")
     targets = {f"={name}": weight for name, weight in weights.items()} if weights else tempered(sizes)
     plan = phases({name: -(-count // block_rows) for name, count in sizes.items()}, targets)
     # At most one row per source and phase, and as many offsets as the periods have slots.
-    placed = F.broadcast(spark.createDataFrame(_plan_rows(plan), _TABLE).withColumnRenamed("source", "_of"))
+    table = spark.createDataFrame(_plan_rows(plan), _TABLE)
+    placed = F.broadcast(table.select(F.col("source").alias(of), F.struct(*table.columns[1:]).alias(place)))
 
     inside = Window.partitionBy(key, bucket).orderBy(mark)
     earlier = Window.partitionBy(key).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(key, bucket, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    offsets = counts.select(key, bucket, F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(before))
     ranked = keyed.withColumn(rank, F.row_number().over(inside)).join(offsets, [key, bucket])
-    block = F.floor((F.col(rank) + F.col("_before") - 1) / block_rows).cast("long")
-    i = F.col("mix_block") - F.col("first_block")
-    turn = F.floor(i / F.col("share")) * F.col("period") + F.col("start")
-    release = F.floor((i * F.col("period")) / F.col("share"))
-    deadline = F.ceil(((i + 1) * F.col("period")) / F.col("share"))
+    block = F.floor((F.col(rank) + F.col(before) - 1) / block_rows).cast("long")
+    part = F.col(place)
+    i, period, share, start = F.col("mix_block") - part["first_block"], part["period"], part["share"], part["start"]
+    in_phase = (i >= 0) & (i < part["blocks"])
+    turn = F.floor(i / share) * period + start
     return (
         ranked.withColumn("mix_block", block)
-        .join(
-            placed,
-            (F.col(key) == F.col("_of"))
-            & (F.col("mix_block") >= F.col("first_block"))
-            & (F.col("mix_block") < F.col("first_block") + F.col("blocks")),
-        )
+        .join(placed, (F.col(key) == F.col(of)) & in_phase)
         .select(
             *docs.columns,
             "mix_block",
-            (turn + F.element_at("offsets", (i % F.col("share") + 1).cast("int"))).cast("long").alias("mix_slot"),
-            F.col("phase").alias("mix_phase"),
-            (F.col("start") + release).cast("long").alias("mix_release"),
-            (F.col("start") + deadline).cast("long").alias("mix_deadline"),
+            (turn + F.element_at(part["offsets"], (i % share + 1).cast("int"))).cast("long").alias("mix_slot"),
+            part["phase"].alias("mix_phase"),
+            (start + F.floor((i * period) / share)).cast("long").alias("mix_release"),
+            (start + F.ceil(((i + 1) * period) / share)).cast("long").alias("mix_deadline"),
         )
     )

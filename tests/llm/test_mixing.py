@@ -1,6 +1,6 @@
 from collections import Counter, defaultdict
 
-from cases import ODD, stored
+from cases import DOCS, ODD, stored
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -65,8 +65,8 @@ def test_documents_get_one_slot_each(spark, tmp_path):
 
 
 def test_odd_rows(spark, tmp_path):
-    rows = [(*row, 3, 4) for row in ODD]
-    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, row string, fp string, _row int, mix_slot int, _source int"
+    rows = [(*row, 3, 4, 5, 6, 7, "x") for row in ODD]
+    schema = f"{DOCS}, mix_slot int, _source int, phase int, _before int, share int, _plan string"
     docs = stored(spark, tmp_path, rows, schema)
     out = mixing.mixed(docs, block_rows=1)
     assert sorted(row.mix_slot for row in out.collect()) == list(range(len(ODD)))
