@@ -369,7 +369,9 @@ def scores(
     """Per row: doc_id, held_out, score, predicted and ``hits`` (the weighed sum)."""
     usable = labels.filter(F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("label"))
     open_rows = docs.filter(~is_held_out("doc_id", divisor, rest)).select("doc_id", "text")
-    training = written(likely(open_rows, usable, "doc_id").join(usable, "doc_id").select("doc_id", "text", "label"))
+    # One kind of join at every size: texts of labelled rows are shuffled whether or not there are few labels.
+    joined = likely(open_rows, usable, "doc_id").join(usable.hint("merge"), "doc_id")
+    training = written(joined.select("doc_id", "text", "label"))
     sizes = {row[0]: row[1] for row in training.groupBy("label").count().collect()}
     n_clean, n_toxic = sizes.get(0, 0), sizes.get(1, 0)
     knowledge = knowledge_of(training, n_toxic, n_clean)
