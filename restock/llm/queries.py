@@ -16,6 +16,7 @@ from restock.llm import (
     quality_rules,
     secret_scan,
     simhash_dedup,
+    spot_signatures,
     suffix_tree_lm,
     toxicity,
 )
@@ -80,6 +81,25 @@ def op10_suffix_tree_lm(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_tree_lm.scores(table(spark, folder, "documents"))
 
 
+def op13_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
+    """The next document is the one after it by descending doc_id."""
+    signed = spot_signatures.fingerprints(table(spark, folder, "documents"))
+    rows = spot_signatures.edited(signed)
+    own, changed, following = F.col("signatures"), F.col("edited_signatures"), F.col("next_signatures")
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited_text", 256).alias("edited_sha256"),
+        "fingerprint",
+        spot_signatures.fingerprint(changed).alias("edited_fingerprint"),
+        spot_signatures.likeness(own, changed).alias("near_edited"),
+        spot_signatures.likeness(own, following).alias("near_next"),
+        F.size(own).cast("long").alias("n_signatures"),
+        "length_partition",
+        spot_signatures.alike(own, following).alias("alike_next"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -93,5 +113,6 @@ QUERIES: dict[str, Query] = {
         op8_quality_rules,
         op9_chat_format,
         op10_suffix_tree_lm,
+        op13_spot_signatures,
     )
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from restock.llm.spot_signatures import ANCHORS
+
 # Value patterns without look-behind: the sign before a credential is a group of its own.
 _ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
 _ACCESS = r"AKIA[A-Z0-9]+"
@@ -72,4 +74,48 @@ SELECT conv_id, COUNT(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM sized GROUP BY conv_id
 """
 
-STATEMENTS = {"op1_secret_scan": SECRET_SCAN, "op9_chat_format": CHAT_FORMAT}
+_WORDLESS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_ANCHORS = "[" + ", ".join(f"'{word}'" for word in ANCHORS) + "]"
+_SIXTY_BITS = "CAST('0x' || substr(md5({}), 1, 15) AS BIGINT)"
+
+SPOT_SIGNATURES = f"""
+WITH given AS (SELECT row_number() OVER () AS r, doc_id, COALESCE(text, '') AS text FROM documents),
+paired AS (
+  SELECT r, doc_id, text, length(text) AS n,
+         COALESCE(LEAD(r) OVER o, FIRST_VALUE(r) OVER o) AS next_r, COALESCE(LEAD(text) OVER o, FIRST_VALUE(text) OVER o) AS next_text
+  FROM given WINDOW o AS (ORDER BY doc_id DESC NULLS LAST, text)),
+texts AS (
+  SELECT r, 'own' AS kind, text FROM paired
+  UNION ALL SELECT r, 'edited', substr(text, 1, n - n // 2) || substr(next_text, 1, n // 2) FROM paired),
+words AS (
+  SELECT r, kind, text, list_filter(string_split_regex(lower(text), '{_WORDLESS}'), lambda w: w <> '') AS words FROM texts),
+marked AS (
+  SELECT *, list_filter(words, lambda w: NOT list_contains({_ANCHORS}, w)) AS content,
+         list_filter(range(1, len(words) + 1), lambda i: list_contains({_ANCHORS}, words[i])) AS spots
+  FROM words),
+chained AS (
+  SELECT *, list_sort(list_distinct(list_transform(
+           list_filter(range(1, len(spots) + 1), lambda j: spots[j] - j + 3 <= len(content)),
+           lambda j: {_SIXTY_BITS.format("concat_ws(' ', words[spots[j]], content[spots[j] - j + 1], content[spots[j] - j + 2], content[spots[j] - j + 3])")}))) AS chains
+  FROM marked),
+signed AS (
+  SELECT r, kind, text, CASE WHEN len(chains) > 0 THEN chains
+                             WHEN len(words) > 0 THEN [{_SIXTY_BITS.format("array_to_string(words, ' ')")}] ELSE [] END AS sigs
+  FROM chained),
+pairs AS (
+  SELECT p.doc_id, p.n, e.text AS edited, a.sigs AS own, e.sigs AS changed, b.sigs AS following
+  FROM paired p JOIN signed a ON a.r = p.r AND a.kind = 'own' JOIN signed e ON e.r = p.r AND e.kind = 'edited'
+  JOIN signed b ON b.r = p.next_r AND b.kind = 'own'),
+likened AS (
+  SELECT *, len(list_intersect(own, changed)) AS with_changed, len(list_intersect(own, following)) AS with_following FROM pairs)
+SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256,
+       md5(array_to_string(own, ',')) AS fingerprint, md5(array_to_string(changed, ',')) AS edited_fingerprint,
+       CASE WHEN own = changed THEN 1.0 ELSE with_changed / (len(own) + len(changed) - with_changed) END AS near_edited,
+       CASE WHEN own = following THEN 1.0 ELSE with_following / (len(own) + len(following) - with_following) END AS near_next,
+       len(own) AS n_signatures,
+       CASE WHEN len(own) = 0 THEN -1 ELSE CAST(floor(ln(len(own)) / ln(1 / 0.8) + 1e-9) AS INTEGER) END AS length_partition,
+       CASE WHEN own = following THEN TRUE ELSE with_following >= 0.8 * (len(own) + len(following) - with_following) - 1e-9 END AS alike_next
+FROM likened
+"""
+
+STATEMENTS = {"op1_secret_scan": SECRET_SCAN, "op9_chat_format": CHAT_FORMAT, "op13_spot_signatures": SPOT_SIGNATURES}
