@@ -12,6 +12,7 @@ from restock.llm import (
     decontamination,
     main_text,
     mixing,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     secret_scan,
@@ -81,6 +82,10 @@ def op10_suffix_tree_lm(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_tree_lm.scores(table(spark, folder, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.nodes(prefix_trie.rebuilt(prefix_trie.paths(table(spark, folder, "conversations"))))
+
+
 def op13_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
     """The next document is the one after it by descending doc_id."""
     signed = spot_signatures.fingerprints(table(spark, folder, "documents"))
@@ -113,6 +118,7 @@ QUERIES: dict[str, Query] = {
         op8_quality_rules,
         op9_chat_format,
         op10_suffix_tree_lm,
+        op12_prefix_trie,
         op13_spot_signatures,
     )
 }

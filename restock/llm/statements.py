@@ -118,4 +118,44 @@ SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256,
 FROM likened
 """
 
-STATEMENTS = {"op1_secret_scan": SECRET_SCAN, "op9_chat_format": CHAT_FORMAT, "op13_spot_signatures": SPOT_SIGNATURES}
+# CRC-32 of a number's decimal form, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+PREFIX_TRIE = f"""
+WITH given AS (SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations),
+keyed AS (SELECT conv_id, turn, role, md5(length(role) || ':' || role || text) || printf('%08X', length(text)) AS key FROM given),
+own AS (SELECT conv_id, list(key ORDER BY turn NULLS FIRST, role, key) AS turns FROM keyed GROUP BY conv_id),
+asked AS (
+  SELECT own.*, COALESCE({_CRC32} % 6, 0) AS h, conv_id - conv_id % 100 AS head_id FROM own),
+rebuilt AS (
+  SELECT a.conv_id, list_concat(COALESCE(b.turns, [])[1:a.h], a.turns[a.h + 1:]) AS path
+  FROM asked a LEFT JOIN own b ON b.conv_id = a.head_id),
+opened AS (SELECT conv_id, path, UNNEST(range(0, len(path) + 1)) AS depth FROM rebuilt),
+placed AS (
+  SELECT conv_id, depth, path[1:depth] AS prefix, CASE WHEN depth > 0 THEN path[1:depth - 1] END AS parent,
+         CASE WHEN depth > 0 THEN CAST('0x' || substr(path[depth], 33) AS BIGINT) ELSE 0 END AS chars
+  FROM opened),
+counted AS (
+  SELECT prefix, parent, depth, chars, MIN(conv_id) AS conv_id, COUNT(*) AS n_convs FROM placed GROUP BY prefix, parent, depth, chars),
+nodes AS (SELECT *, (n_convs - 1) * chars AS saved FROM counted),
+children AS (SELECT parent AS prefix, COUNT(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY parent),
+marked AS (SELECT nodes.*, COALESCE(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (prefix)),
+above AS (SELECT *, UNNEST(range(0, depth + 1)) AS up FROM marked),
+covered AS (SELECT prefix[1:up] AS prefix, n_children, saved FROM above),
+subtrees AS (
+  SELECT prefix, COUNT(*) FILTER (n_children = 0) AS n_leaves, SUM(saved) AS saved_tokens FROM covered GROUP BY prefix),
+ends AS (SELECT path AS prefix, sha256(string_agg(conv_id, ',' ORDER BY conv_id)) AS ends_sha256 FROM rebuilt GROUP BY path)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens,
+       COALESCE(ends_sha256, sha256('')) AS ends_sha256
+FROM marked n JOIN subtrees s USING (prefix) LEFT JOIN ends USING (prefix)
+LEFT JOIN marked p ON p.prefix = n.parent AND n.depth > 0
+"""
+
+STATEMENTS = {
+    "op1_secret_scan": SECRET_SCAN,
+    "op9_chat_format": CHAT_FORMAT,
+    "op12_prefix_trie": PREFIX_TRIE,
+    "op13_spot_signatures": SPOT_SIGNATURES,
+}
