@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from restock.llm import (
     chat_format,
     decontamination,
+    fp_tree_search,
     main_text,
     mixing,
     prefix_trie,
@@ -82,6 +83,10 @@ def op10_suffix_tree_lm(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_tree_lm.scores(table(spark, folder, "documents"))
 
 
+def op11_fp_tree_search(spark: SparkSession, folder: str) -> DataFrame:
+    return fp_tree_search.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.nodes(prefix_trie.rebuilt(prefix_trie.paths(table(spark, folder, "conversations"))))
 
@@ -118,6 +123,7 @@ QUERIES: dict[str, Query] = {
         op8_quality_rules,
         op9_chat_format,
         op10_suffix_tree_lm,
+        op11_fp_tree_search,
         op12_prefix_trie,
         op13_spot_signatures,
     )

@@ -118,6 +118,30 @@ SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256,
 FROM likened
 """
 
+_SMALL = "translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+FP_TREE_SEARCH = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex({_SMALL}, '{_WORDLESS}'), lambda w: w <> '') AS terms FROM documents),
+items AS (
+  SELECT row_number() OVER () AS i, item_id, list_distinct(list_filter(string_split_regex({_SMALL}, '{_WORDLESS}'), lambda w: w <> '')) AS terms
+  FROM benchmark),
+total AS (SELECT COUNT(*) AS n_docs, CAST(SUM(len(terms)) AS BIGINT) AS n_terms FROM docs WHERE len(terms) > 0),
+held AS (SELECT r, doc_id, len(terms) AS n, UNNEST(terms) AS term FROM docs),
+tfs AS (SELECT r, doc_id, n, term, COUNT(*) AS tf FROM held GROUP BY ALL),
+dfs AS (SELECT term, COUNT(*) AS df FROM tfs GROUP BY term),
+weighed AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM dfs, total),
+asked AS (SELECT i, item_id, UNNEST(terms) AS term FROM items),
+gained AS (
+  SELECT i, item_id, r, doc_id, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms))) AS gain
+  FROM asked JOIN tfs USING (term) JOIN weighed USING (term), total),
+scored AS (SELECT i, item_id, r, doc_id, CAST(SUM(gain) AS BIGINT) AS score FROM gained GROUP BY i, item_id, r, doc_id),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM numbered WHERE rank <= 50
+"""
+
 # CRC-32 of a number's decimal form, bit by bit.
 _CRC32 = """xor(4294967295, list_reduce(
     list_concat([4294967295::BIGINT], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
@@ -156,6 +180,7 @@ LEFT JOIN marked p ON p.prefix = n.parent AND n.depth > 0
 STATEMENTS = {
     "op1_secret_scan": SECRET_SCAN,
     "op9_chat_format": CHAT_FORMAT,
+    "op11_fp_tree_search": FP_TREE_SEARCH,
     "op12_prefix_trie": PREFIX_TRIE,
     "op13_spot_signatures": SPOT_SIGNATURES,
 }
