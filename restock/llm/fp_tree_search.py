@@ -261,7 +261,8 @@ def _searched(block: Block, weights: np.ndarray, documents: int, terms: int, bes
                 asked[item] = 0
 
         for batch in batches:
-            waiting.append(batch)
+            if batch.num_rows:
+                waiting.append(batch)
             postings += len(batch.column("terms").flatten())
             if postings >= TREE_POSTINGS:
                 search()
