@@ -19,6 +19,7 @@ RUNTIME_SETTINGS = {
 _CHECKPOINT_SETTING = "spark.checkpoint.dir"
 _local_folders: dict[str, str] = {}
 _cleared_at_exit: set[str] = set()
+_steps: dict[str, list[str]] = {}
 
 
 def build_session(master: str | None = None, app_name: str = "restock", **settings: str) -> SparkSession:
@@ -78,12 +79,32 @@ def materialise(df: DataFrame) -> DataFrame:
         atexit.register(_clear_if_running, spark)
     path = f"{shared_folder(spark)}/steps/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _steps.setdefault(application, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def steps(spark: SparkSession) -> list[str]:
+    """Folders of the steps this application has written and not removed, the oldest first."""
+    return list(_steps.get(spark.sparkContext.applicationId, []))
+
+
+def remove_steps(spark: SparkSession, paths: list[str]) -> None:
+    """Remove some steps early. No DataFrame that reads them may be used afterwards."""
+    known = _steps.get(spark.sparkContext.applicationId, [])
+    for path in known.copy():
+        if path in paths:
+            _delete(spark, path)
+            known.remove(path)
+
+
 def clear_steps(spark: SparkSession) -> None:
     """Remove the steps this application has written. Call it when no DataFrame that reads them is left."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/steps")
+    _delete(spark, f"{shared_folder(spark)}/steps")
+    _steps.pop(spark.sparkContext.applicationId, None)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
