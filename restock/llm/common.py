@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,6 +64,24 @@ def likely(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     return rows.withColumn(name, place).join(taken, name, "left_semi").drop(name)
 
 
+def identified(docs: DataFrame, name: str) -> DataFrame:
+    """The rows with a struct that tells each from all others: its file and its number in the file.
+
+    Unlike a number drawn by tasks it does not depend on how files are cut into splits, so two scans
+    agree even if executors came or went between them. Rows that come from no file are written first.
+    """
+
+    def place(rows: DataFrame) -> Column:
+        about = rows.metadataColumn("_metadata")
+        return F.struct(F.xxhash64(about["file_path"]).alias("file"), about["row_index"].alias("number")).alias(name)
+
+    try:
+        return docs.select("*", place(docs))
+    except AnalysisException:
+        stored = written(docs)
+        return stored.select("*", place(stored))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that the rows do not have yet."""
     taken = {column.lower() for column in df.columns}

@@ -325,7 +325,7 @@ def nodes(rows: DataFrame, shards: int | None = None) -> DataFrame:
 
     Columns: conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256.
     """
-    placed = sharded(classes(rows), shards)
+    placed = sharded(classes(written(rows)), shards)
     shape = skeleton(placed)
     kinds = ", ".join(f"{name} {_SQL_TYPES[kind]}" for name, kind in _GIVEN.items())
     ordered = placed.repartitionByRange(max(1, len(shape)), "shard").sortWithinPartitions("shard", "path")

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from restock.llm.common import fresh, written
+from restock.llm.common import fresh, identified, written
 
 # Fixed formats: pattern, group that holds the value, least length of that value.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -118,9 +118,8 @@ def _listed(condition: Column) -> Column:
 
 def scan(docs: DataFrame, repo: Column, owner: Column, widely: int = WIDELY) -> DataFrame:
     """Per row of documents: counts by kind, spans, and how many spans are live and how many are examples."""
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", repo.alias("repo"), owner.alias("owner"), "text"
-    )
+    row = fresh(docs, "_row")
+    rows = identified(docs, row).select(F.col(row).alias("row"), "doc_id", repo.alias("repo"), owner.alias("owner"), "text")
     found = written(candidates(rows))
     per_row = judged(found, widely).groupBy("row").agg(
         *[F.count(F.when(F.col("kind") == kind, 1)).alias(f"n_{kind}") for kind in [*BASE, "credential"]],
@@ -145,12 +144,9 @@ def scan(docs: DataFrame, repo: Column, owner: Column, widely: int = WIDELY) ->
 
 
 def redacted(docs: DataFrame, repo: Column, owner: Column, widely: int = WIDELY) -> DataFrame:
-    """The documents with every reported span replaced by ``MARK``; others are not touched or moved.
-
-    ``docs`` is a stored table: the rows are told apart by their place in its files.
-    """
+    """The documents with every reported span replaced by ``MARK``; others are not touched or moved."""
     row = fresh(docs, "_row")
-    placed = docs.withColumn(row, F.monotonically_increasing_id())
+    placed = identified(docs, row)
     holding = placed.filter(holds_candidate(F.col("text")))
     rows = holding.select(F.col(row).alias("row"), repo.alias("repo"), owner.alias("owner"), "text")
     found = judged(written(candidates(rows)), widely)
@@ -173,5 +169,5 @@ def redacted(docs: DataFrame, repo: Column, owner: Column, widely: int = WIDELY)
         kind = docs.schema["n_chars"].dataType
         counted = F.when(F.col(spans).isNotNull(), F.length("text").cast(kind)).otherwise(F.col("n_chars"))
         changed = changed.withColumn("n_chars", counted)
-    untouched = docs.filter(~holds_candidate(F.col("text")))
+    untouched = placed.select(docs.columns).filter(~holds_candidate(F.col("text")))
     return untouched.unionByName(changed.select(docs.columns))

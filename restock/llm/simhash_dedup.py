@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from restock.llm.common import as_bytes, fresh, written
+from restock.llm.common import as_bytes, fresh, identified, written
 from restock.llm.components import connected
 
 SEED = 42
@@ -138,12 +138,9 @@ def _labelled(classes: DataFrame, bucket: int) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bucket: int = BUCKET) -> DataFrame:
-    """The documents with one row of every component: the smallest id, the first of rows that repeat.
-
-    ``docs`` is a stored table: the rows are told apart by their place in its files.
-    """
+    """The documents with one row of every component: the smallest id, the first of rows that repeat."""
     row = fresh(docs, "_row")
-    placed = docs.withColumn(row, F.monotonically_increasing_id())
+    placed = identified(docs, row)
     rows = written(placed.select(F.col(row).alias("at"), F.col(doc_id).alias("doc_id"), simhash(F.col(text)).alias("fp")))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "at"))
     classes = written(rows.groupBy("fp").agg(first.alias("first")))
