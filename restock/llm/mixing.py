@@ -24,7 +24,6 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 from fractions import Fraction
 from itertools import islice
 
@@ -32,10 +31,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from restock.llm.common import fresh, ready, written
+from restock.llm.common import fresh, identified, ready, written
 
 BLOCK_ROWS = 16
-PERIOD = 1_000
 BUCKETS = 4_096
 CHUNK = 500_000
 TEMPER = 0.5
@@ -108,79 +106,6 @@ def _block_table(spark: SparkSession, rows: Iterator[tuple]) -> DataFrame:
     return table
 
 
-# The same schedule for shares of a period, which repeats: exact only if the shares are the weights.
-
-
-def shares(weights: dict[str, float], period: int) -> dict[str, int]:
-    """Blocks per period, at least one each, by largest remainder."""
-    total = sum(weights.values())
-    free = period - len(weights)
-    exact = {source: free * weight / total for source, weight in weights.items()}
-    whole = {source: 1 + int(value) for source, value in exact.items()}
-    order = sorted(exact, key=lambda source: (int(exact[source]) - exact[source], source))
-    for source in order[: period - sum(whole.values())]:
-        whole[source] += 1
-    return whole
-
-
-def window(i: int, share: int, period: int) -> tuple[int, int]:
-    """Release and deadline of block i."""
-    return i * period // share, -(-(i + 1) * period // share)
-
-
-def schedule(share: dict[str, int]) -> dict[str, list[int]]:
-    """Slots of every source in one period: earliest deadline first among released blocks."""
-    period = sum(share.values())
-    waiting = [(0, source, 0) for source in share]
-    heapq.heapify(waiting)
-    due: list[tuple[int, str, int]] = []
-    slots: dict[str, list[int]] = {source: [] for source in share}
-    for slot in range(period):
-        while waiting and waiting[0][0] <= slot:
-            _, source, i = heapq.heappop(waiting)
-            heapq.heappush(due, (window(i, share[source], period)[1], source, i))
-        _, source, i = heapq.heappop(due)
-        slots[source].append(slot)
-        if i + 1 < share[source]:
-            heapq.heappush(waiting, (window(i + 1, share[source], period)[0], source, i + 1))
-    return slots
-
-
-@dataclass
-class Phase:
-    start: int
-    share: dict[str, int]
-    slots: dict[str, list[int]]
-    first: dict[str, int]
-    blocks: dict[str, int] = field(default_factory=dict)
-
-
-def phases(blocks: dict[str, int], weights: dict[str, float]) -> list[Phase]:
-    """The phases of the mixture; ``blocks`` and ``weights`` by source."""
-    left = {source: count for source, count in blocks.items() if count}
-    done = dict.fromkeys(left, 0)
-    start, plan = 0, []
-    while left:
-        wanted = {source: weights.get(source, 0.0) for source in left if weights.get(source, 0.0) > 0}
-        wanted = wanted or dict.fromkeys(left, 1.0)
-        share = shares(wanted, max(PERIOD, 10 * len(wanted)))
-        slots, period = schedule(share), sum(share.values())
-        phase = Phase(start, share, slots, {source: done[source] for source in share})
-        full = min(left[source] // share[source] for source in share)
-        last = {source: left[source] - full * share[source] for source in share}
-        tail = 0
-        if all(last.values()):
-            tail = min(slots[source][last[source] - 1] + 1 for source in share if last[source] <= share[source])
-        for source in share:
-            phase.blocks[source] = full * share[source] + sum(slot < tail for slot in slots[source])
-            done[source] += phase.blocks[source]
-            left[source] -= phase.blocks[source]
-        left = {source: count for source, count in left.items() if count}
-        start += full * period + tail
-        plan.append(phase)
-    return plan
-
-
 def tempered(counts: dict[str, int], power: float = TEMPER) -> dict[str, float]:
     """Weights that even out large and small sources: rows to a power below one."""
     return {source: count**power for source, count in counts.items()}
@@ -195,32 +120,38 @@ def mixed(
     """
     spark = ready(docs.sparkSession)
     docs = docs.drop("mix_block", "mix_slot", "mix_phase", "mix_release", "mix_deadline")
-    names = ("_source", "_mark", "_bucket", "_rank", "_n", "_before", "_of", "_plan")
-    key, mark, bucket, rank, n, before, of, place = (fresh(docs, name) for name in names)
-    # A null source is told from every text by a leading sign.
-    keyed = docs.withColumn(key, F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("-")))
-    keyed = keyed.withColumn(mark, F.xxhash64(*docs.columns)).withColumn(bucket, F.pmod(mark, F.lit(BUCKETS)))
+    names = ("_source", "_mark", "_bucket", "_rank", "_n", "_before", "_of", "_plan", "_row")
+    key, mark, bucket, rank, n, before, of, place, row = (fresh(docs, name) for name in names)
+    rows = identified(docs, row)
+    # Slots are worked out on narrow rows, and only then joined to the documents. A null source is told
+    # from every text by a leading sign.
+    keyed = rows.select(
+        row,
+        F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("-")).alias(key),
+        F.xxhash64(*docs.columns).alias(mark),
+    ).withColumn(bucket, F.pmod(mark, F.lit(BUCKETS)))
+    keyed = written(keyed)
     counts = written(keyed.groupBy(key, bucket).agg(F.count(F.lit(1)).alias(n)))
-    sizes = {row[0]: row[1] for row in counts.groupBy(key).agg(F.sum(n)).collect()}
+    sizes = {found[0]: found[1] for found in counts.groupBy(key).agg(F.sum(n)).collect()}
     targets = {f"={name}": weight for name, weight in weights.items()} if weights else tempered(sizes)
     table = _block_table(spark, placed({name: -(-count // block_rows) for name, count in sizes.items()}, targets))
     table = table.select(F.col("source").alias(of), F.struct(*_FIELDS[1:]).alias(place))
 
-    inside = Window.partitionBy(key, bucket).orderBy(mark)
+    inside = Window.partitionBy(key, bucket).orderBy(mark, row)
     earlier = Window.partitionBy(key).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(key, bucket, F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(before))
     ranked = keyed.withColumn(rank, F.row_number().over(inside)).join(offsets, [key, bucket])
     block = F.floor((F.col(rank) + F.col(before) - 1) / block_rows).cast("long")
     part = F.col(place)
-    return (
-        ranked.withColumn("mix_block", block)
-        .join(table, (F.col(key) == F.col(of)) & (F.col("mix_block") == part["block"]))
-        .select(
-            *docs.columns,
-            "mix_block",
-            part["slot"].alias("mix_slot"),
-            part["phase"].alias("mix_phase"),
-            part["release"].alias("mix_release"),
-            part["deadline"].alias("mix_deadline"),
-        )
+    slots = ranked.withColumn("mix_block", block).join(
+        table, (F.col(key) == F.col(of)) & (F.col("mix_block") == part["block"])
+    )
+    mixed_as = slots.select(
+        row,
+        "mix_block",
+        part["slot"].alias("mix_slot"),
+        part["phase"].alias("mix_phase"),
+        part["release"].alias("mix_release"),
+        part["deadline"].alias("mix_deadline"),
     )
+    return rows.join(mixed_as, row).drop(row)

@@ -8,42 +8,6 @@ from hypothesis import strategies as st
 from restock.llm import mixing
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.dictionaries(st.sampled_from("abcdefghij"), st.floats(0.01, 5), min_size=1))
-def test_every_slot_keeps_every_source_within_a_block(weights):
-    share = mixing.shares(weights, 400)
-    assert sum(share.values()) == 400 and min(share.values()) >= 1
-    slots = mixing.schedule(share)
-    assert sorted(slot for own in slots.values() for slot in own) == list(range(400))
-    for source, own in slots.items():
-        assert len(own) == share[source]
-        for i, slot in enumerate(own):
-            release, deadline = mixing.window(i, share[source], 400)
-            assert release <= slot < deadline
-        done, mine = 0, set(own)
-        for slot in range(400):
-            done += slot in mine
-            assert abs(done * 400 - (slot + 1) * share[source]) < 400
-
-
-@settings(max_examples=60, deadline=None)
-@given(
-    st.dictionaries(st.sampled_from("abcdefgh"), st.integers(0, 3000), min_size=1),
-    st.dictionaries(st.sampled_from("abcdefgh"), st.floats(0, 3)),
-)
-def test_phases_place_every_block_once(blocks, weights):
-    plan = mixing.phases(blocks, weights)
-    slots, numbers = [], defaultdict(list)
-    for phase in plan:
-        period = sum(phase.share.values())
-        for source, share in phase.share.items():
-            for i in range(phase.blocks[source]):
-                slots.append(phase.start + i // share * period + phase.slots[source][i % share])
-                numbers[source].append(phase.first[source] + i)
-    assert sorted(slots) == list(range(sum(blocks.values())))
-    assert all(numbers[source] == list(range(count)) for source, count in blocks.items())
-
-
 def test_documents_get_one_slot_each(spark, tmp_path):
     rows = [(i, "big" if i % 3 else f"s{i % 5}") for i in range(3000)]
     docs = stored(spark, tmp_path, rows, "doc_id long, source string")
