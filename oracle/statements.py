@@ -1007,6 +1007,19 @@ add(
        FROM (VALUES ('on', 1), ('a_b', 2), ('a_c_d_e_f', 3.5), ('rows', (SELECT COUNT(*) FROM hourly))) AS t(metric_name, metric_value)""",
     "metric_value",
 )
+add(
+    "stored_reopened_models",
+    """SELECT CAST(model_key AS INT) AS model_key, model_name, CASE WHEN model_key = 1 THEN (SELECT COUNT(*) FROM hourly) END AS estimate_rows
+       FROM (VALUES (1, 'old'), (2, 'new'), (3, 'newest')) AS t(model_key, model_name)""",
+)
+add(
+    "stored_reopened_reload",
+    """SELECT full_date, SUM(observed_daily_sales_amount * IF(full_date = DATE '2024-01-24', 2, 1)) AS sales,
+              COUNT(*) AS monitor_rows, ANY_VALUE(n) AS hourly_rows
+       FROM daily JOIN dim_date USING (date_key)
+       JOIN (SELECT date_key, COUNT(*) AS n FROM hourly GROUP BY date_key) USING (date_key) GROUP BY full_date""",
+    "sales",
+)
 add(
     "stored_reset",
     """SELECT UNNEST(['observations', 'dim_date', 'dim_time', 'dim_city', 'dim_store', 'dim_product', 'dim_model', 'fact_daily',

@@ -31,7 +31,7 @@ class ExampleWarehouse(Warehouse):
 
     @cached_property
     def dim_model(self) -> DataFrame:
-        return self._store("dim_model", fixtures.model_registry(self.dim_date, self.observations))
+        return self._stored("dim_model", lambda: fixtures.model_registry(self.dim_date, self.observations))
 
     def predictions(self, model_key: int) -> DataFrame:
         return fixtures.predictions(self.fact_hourly, model_key)
@@ -41,11 +41,11 @@ class ExampleWarehouse(Warehouse):
         first, second = (
             demand.as_estimates(demand.clamp_prediction(self.predictions(key)), key) for key in MODEL_KEYS
         )
-        return self._store("demand_estimates", first.unionByName(second))
+        return self._stored("demand_estimates", lambda: first.unionByName(second))
 
     @cached_property
     def recommendations(self) -> DataFrame:
-        return self._store("recommendations", demand.recommendations(self.demand_estimates, self.fact_daily))
+        return self._stored("recommendations", lambda: demand.recommendations(self.demand_estimates, self.fact_daily))
 
     def scored(self, model_key: int = ACTIVE_KEY, split: str = "eval") -> DataFrame:
         """A model's predictions beside the target of the trainable rows of one split.
@@ -88,7 +88,7 @@ class ExampleWarehouse(Warehouse):
     def model_evaluation(self) -> DataFrame:
         rows = [self.evaluation_rows(key) for key in MODEL_KEYS]
         stamps = self.dim_model.select("model_key", "created_at")
-        return self._store("model_evaluation", rows[0].unionByName(rows[1]).join(stamps, "model_key"))
+        return self._stored("model_evaluation", lambda: rows[0].unionByName(rows[1]).join(stamps, "model_key"))
 
     def metrics_document(self) -> DataFrame:
         """The active model's eval metrics as JSON text."""

@@ -20,21 +20,33 @@ STAMP = "2024-02-01 00:00:00"
 RELOADED = (date(2024, 1, 24), date(2024, 1, 27))
 
 
+def _no_source() -> DataFrame:
+    raise AssertionError("everything is stored or loaded")
+
+
 def _new(w: ExampleWarehouse) -> Warehouse:
-    return Warehouse(w.spark, f"{w.tables.path}-stored-{uuid.uuid4().hex}", lambda: None)
+    return Warehouse(w.spark, f"{w.tables.path}-stored-{uuid.uuid4().hex}", _no_source)
+
+
+def reopened(stored: Warehouse) -> Warehouse:
+    """The same folder as a later session finds it: nothing but what is stored is known."""
+    return Warehouse(stored.spark, stored.tables.path, _no_source)
 
 
 def reloaded(w: ExampleWarehouse) -> Warehouse:
-    """All observations loaded, then the eval split again with promotions turned round; of the hours, four dates again."""
+    """All observations loaded, then in a reopened warehouse the eval split again with promotions turned round; of the
+    hours, four dates again.
+    """
     if not hasattr(w, "reloaded_warehouse"):
         stored = _new(w)
         stored.load(w.observations)
         stored.load_hourly()
+        stored = reopened(stored)
         turned = (1 - F.col("activity_flag")).cast("int")
         stored.load(w.observations.filter(F.col("source_split") == "eval").withColumn("activity_flag", turned))
         stored.load_hourly(*RELOADED)
         w.reloaded_warehouse = stored
-    return w.reloaded_warehouse
+    return reopened(w.reloaded_warehouse)
 
 
 @query
@@ -118,10 +130,50 @@ def stored_reset(w):
     """Rows of every table after a reset."""
     stored = _new(w)
     stored.load(w.observations)
+    stored = reopened(stored)
     stored.reset()
     return kpi.table_counts(stored.all_tables())
 
 
+def _two_models(w: ExampleWarehouse) -> Warehouse:
+    """A model loaded in one session, another one registered in the next, and a third object that reads both."""
+    stored = _new(w)
+    stored.load(w.observations)
+    stored.load_hourly()
+    import_job(stored, _prediction_files(w, "old")[0], "old", "1", STAMP)
+    later = reopened(stored)
+    later.register_model("new", "1", STAMP)
+    # The first object does not know of it, and still must not give its key again.
+    stored.register_model("newest", "1", STAMP)
+    later.register_model("old", "1", STAMP)
+    return reopened(later)
+
+
+@query
+def stored_reopened_models(w):
+    """Models with their stored rows: the old one keeps key and estimates, later ones get the next keys."""
+    stored = _two_models(w)
+    rows = stored.demand_estimates.groupBy("model_key").agg(F.count(F.lit(1)).alias("estimate_rows"))
+    return stored.dim_model.join(rows, "model_key", "left").select("model_key", "model_name", "estimate_rows")
+
+
+@query
+def stored_reopened_reload(w):
+    """Daily sums of views and facts in a reopened warehouse after one date is loaded again, read by another one."""
+    stored = _new(w)
+    stored.load(w.observations)
+    stored.load_hourly()
+    again = reopened(stored)
+    again.load(w.observations.filter(F.col("dt") == RELOADED[0]).withColumn("sale_amount", F.col("sale_amount") * 2))
+    again.load_hourly(RELOADED[0], RELOADED[0])
+    seen = reopened(again)
+    monitor = seen.restock_monitor.groupBy("full_date").agg(F.count(F.lit(1)).alias("monitor_rows"))
+    daily = seen.fact_daily.join(seen.dim_date, "date_key").groupBy("full_date")
+    hours = seen.training_features.groupBy("full_date").agg(F.count(F.lit(1)).alias("hourly_rows"))
+    sums = daily.agg(F.sum("observed_daily_sales_amount").alias("sales"))
+    return sums.join(monitor, "full_date").join(hours, "full_date")
+
+
 @query
 def metrics_flatten_deep(w):
     rows = w.fact_hourly.groupBy("time_key").agg(F.count(F.lit(1)).alias("n"))

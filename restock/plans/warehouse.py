@@ -47,81 +47,95 @@ VIEWS = ("training_features", "restock_monitor", "hourly_demand_estimate", "deci
 
 
 class Warehouse:
-    """Tables of one source. ``source`` gives the observations; each table is built on first use."""
+    """Tables of one folder.
+
+    A table that is stored is read, whichever session stored it. Others are built on first use, from
+    the observations that ``source`` gives if these are not stored either; model tables start empty.
+    """
 
     def __init__(self, spark: SparkSession, folder: str, source: Callable[[], DataFrame]):
         self.spark = spark
         self.tables = TableFolder(spark, folder)
         self._source = source
 
-    def _store(self, name: str, df: DataFrame) -> DataFrame:
-        return self.tables.write(df, name, SCHEMAS[name], PARTITIONS.get(name, ()), ORDERS.get(name, ()))
+    def _stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """The stored table; the first time it is built and stored."""
+        if self.tables.exists(name):
+            return self.tables.read(name, SCHEMAS[name])
+        return self.tables.write(build(), name, SCHEMAS[name], PARTITIONS.get(name, ()), ORDERS.get(name, ()))
 
     @cached_property
     def observations(self) -> DataFrame:
-        return self._store("observations", self._source())
+        return self._stored("observations", self._source)
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return self._store("dim_date", dims.dim_date(self.observations))
+        return self._stored("dim_date", lambda: dims.dim_date(self.observations))
 
     @cached_property
     def dim_time(self) -> DataFrame:
-        return self._store("dim_time", dims.dim_time(self.spark))
+        return self._stored("dim_time", lambda: dims.dim_time(self.spark))
 
     @cached_property
     def dim_city(self) -> DataFrame:
-        return self._store("dim_city", dims.dim_city(self.observations))
+        return self._stored("dim_city", lambda: dims.dim_city(self.observations))
 
     @cached_property
     def dim_store(self) -> DataFrame:
-        return self._store("dim_store", dims.dim_store(self.observations, self.dim_city))
+        return self._stored("dim_store", lambda: dims.dim_store(self.observations, self.dim_city))
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        return self._store("dim_product", dims.dim_product(self.observations))
+        return self._stored("dim_product", lambda: dims.dim_product(self.observations))
 
     @cached_property
     def fact_daily(self) -> DataFrame:
-        daily = facts.fact_daily(self.observations, self.dim_date, self.dim_store, self.dim_product)
-        return self._store("fact_daily", daily)
+        inputs = lambda: (self.observations, self.dim_date, self.dim_store, self.dim_product)
+        return self._stored("fact_daily", lambda: facts.fact_daily(*inputs()))
 
     @cached_property
     def fact_hourly(self) -> DataFrame:
-        hourly = facts.fact_hourly(self.observations, self.dim_date, self.dim_store, self.dim_product)
-        return self._store("fact_hourly", hourly)
+        inputs = lambda: (self.observations, self.dim_date, self.dim_store, self.dim_product)
+        return self._stored("fact_hourly", lambda: facts.fact_hourly(*inputs()))
 
     # Model tables start empty; a model run or an import fills them.
 
     def _empty(self, name: str) -> DataFrame:
         return self.spark.createDataFrame([], SCHEMAS[name])
 
+    def _stored_or_empty(self, name: str) -> DataFrame:
+        return self.tables.read(name, SCHEMAS[name]) if self.tables.exists(name) else self._empty(name)
+
     @cached_property
     def dim_model(self) -> DataFrame:
-        return self._empty("dim_model")
+        return self._stored_or_empty("dim_model")
 
     @cached_property
     def demand_estimates(self) -> DataFrame:
-        return self._empty("demand_estimates")
+        return self._stored_or_empty("demand_estimates")
 
     @cached_property
     def recommendations(self) -> DataFrame:
-        return self._empty("recommendations")
+        return self._stored_or_empty("recommendations")
 
     @cached_property
     def model_evaluation(self) -> DataFrame:
-        return self._empty("model_evaluation")
+        return self._stored_or_empty("model_evaluation")
 
     @cached_property
     def model_output(self) -> DataFrame:
         """Rows per model in the model facts, stored so that views need not open the facts."""
+        if self.tables.exists("model_output"):
+            return self.tables.read("model_output", S.MODEL_OUTPUT)
+        return self._counted()
+
+    def _counted(self) -> DataFrame:
         counts = models.model_output(self.demand_estimates, self.recommendations)
         return self.tables.write(counts, "model_output", S.MODEL_OUTPUT)
 
     def _recount(self) -> None:
         """Bring the stored counts up to date after a change; only footers of the facts are read."""
-        self.__dict__.pop("model_output", None)
-        self.model_output  # noqa: B018 - counts and stores
+        self.model_output = self._counted()
 
     # Views.
 
@@ -203,7 +217,7 @@ class Warehouse:
         self._upsert("fact_daily", daily, S.DAILY_KEY)
 
     def _extend(self, name: str, incoming: DataFrame, natural: list[str], key: str) -> None:
-        known = self.tables.read(name, SCHEMAS[name]) if self.tables.exists(name) else self._empty(name)
+        known = self._stored_or_empty(name)
         attributes = [column for column in SCHEMAS[name].names if column not in (key, *natural)]
         require_unique(incoming.distinct(), natural)
         extended = dims.extend_dimension(known, incoming, natural, key)
@@ -221,6 +235,8 @@ class Warehouse:
         self._upsert("fact_hourly", hours, S.HOURLY_KEY)
 
     def register_model(self, name: str, version: str, created_at, start=None, end=None) -> int:
+        # Read anew: another session may have registered models since.
+        self._forget(["dim_model"])
         registered = dims.register_model(self.dim_model, name, version, created_at, start, end)
         self._upsert("dim_model", registered, ["model_key"])
         same = (F.col("model_name") == name) & (F.col("model_version") == version)
@@ -238,6 +254,7 @@ class Warehouse:
         self._recount()
 
     def refresh_training_dates(self, model_key: int) -> None:
+        self._forget(["dim_model"])
         updated = dims.with_training_dates(self.dim_model, self.demand_estimates, self.dim_date, model_key)
         self._upsert("dim_model", updated, ["model_key"])
 

@@ -61,8 +61,13 @@ class TableFolder:
         return self.read(name, schema)
 
     def exists(self, name: str) -> bool:
+        """Whether a table has been written; a first write that broke off leaves only hidden folders."""
         path = self._path(self.location(name))
-        return path.getFileSystem(self._hadoop_conf()).exists(path)
+        files = path.getFileSystem(self._hadoop_conf())
+        if not files.exists(path):
+            return False
+        names = [status.getPath().getName() for status in files.listStatus(path)]
+        return any(not name.startswith((".", "_temporary", ".spark-staging")) for name in names)
 
     def upsert(
         self,
