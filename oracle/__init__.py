@@ -36,4 +36,12 @@ def statement(sql: str, doubles: str = "") -> str:
     names = _needed(sql)
     if not names:
         return body
-    return "WITH " + ",\n".join(f"{name} AS ({RELATIONS[name]})" for name in names) + "\n" + body
+    texts = [sql, *(RELATIONS[name] for name in names)]
+    relations = [f"{name} AS {_kind(name, texts)} ({RELATIONS[name]})" for name in names]
+    return "WITH " + ",\n".join(relations) + "\n" + body
+
+
+def _kind(name: str, texts: list[str]) -> str:
+    """What several relations read is computed once."""
+    uses = sum(len(re.findall(rf"\b(?:FROM|JOIN)\s+{name}\b", text)) for text in texts)
+    return "MATERIALIZED" if uses > 1 else "NOT MATERIALIZED"
