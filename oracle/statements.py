@@ -852,6 +852,8 @@ add(
     + " baseline_demand_prior store_traffic_lag_1h category_momentum_24h product_sales_lag_1h product_sales_lag_24h_sum days_since_previous_sale",
 )
 
+add("prepare_features_saved", f"SELECT * FROM ({STATEMENTS['prepare_features'][0]}) WHERE part = 'eval'", STATEMENTS["prepare_features"][1])
+
 # The comparison flow.
 CKEY = "source_split, store_id, product_id, dt, hour"
 add("comparison_hourly", "SELECT * FROM comp", "discount units_ordered stock_on_hand selling_price product_price")
@@ -893,6 +895,12 @@ add(
     CLEAN_NUMBERS,
 )
 
+add(
+    "comparison_encode_saved",
+    f"SELECT * FROM ({STATEMENTS['comparison_encode'][0]}) WHERE key_source_split = 'eval'",
+    CLEAN_NUMBERS,
+)
+
 # Evaluation and calibration.
 add(
     "predict_hurdle",
@@ -961,6 +969,7 @@ for name in ("fit_comparison_facts", "fit_comparison_best_first_facts", "fit_com
         """SELECT COUNT(*) AS rows_scored, COUNT(DISTINCT (source_split, store_id, product_id, dt, hour)) AS keys_scored,
            0::BIGINT AS negative_rows, 0::BIGINT AS missing_rows, TRUE AS fits_better FROM comp WHERE source_split = 'eval'""",
     )
+add("score_new_days", "SELECT COUNT(*) AS rows_scored, 0::BIGINT AS differing_rows FROM parts WHERE part = 'eval'")
 add("save_and_load_model_facts", "SELECT COUNT(*) AS rows_scored, 0::BIGINT AS differing_rows FROM parts WHERE part = 'eval'")
 add(
     "train_job_facts",
@@ -1032,6 +1041,14 @@ add(
        UNION ALL SELECT 'hour_' || time_key || '_x_y', 1::DOUBLE FROM dim_time""",
     "metric_value",
 )
+PLACED_EVENTS = "(SELECT event_id, user_id, event_type, value, row_number() OVER () - 1 AS place FROM events)"
+add("sample_file_head", f"SELECT * EXCLUDE (place) FROM {PLACED_EVENTS} ORDER BY place LIMIT 1500", "value")
+add(
+    "sample_file_blocks",
+    f"""SELECT * EXCLUDE (place) FROM {PLACED_EVENTS}
+        ORDER BY md5('42|events.parquet|' || (place // 400)), place // 400, place LIMIT 1500""",
+    "value",
+)
 add(
     "sample_head_nulls",
     """SELECT source_split, store_id, product_id, dt, sale_amount, IF(store_id % 4 > 0, store_id % 3, NULL) AS lead

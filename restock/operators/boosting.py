@@ -43,6 +43,7 @@ LOG_LINK = ("tweedie", "poisson")
 OBJECTIVES = (*LOG_LINK, "squared", "logistic")
 REFRESH = 10
 _LEAST = 1e-6
+_NOISE = 1e-9
 
 
 @dataclass(frozen=True)
@@ -192,10 +193,14 @@ def bins_of(values: list[np.ndarray], cuts: list[list[float]]) -> np.ndarray:
 
 
 def cut_points(rows: DataFrame, columns: list[str], bins: int) -> list[list[float]]:
-    """Quantiles of every column, from one scan."""
+    """Quantiles of every column, from one scan.
+
+    They lie a little above the values, so that the rounding noise of sums added in another order does not
+    part rows of equal values.
+    """
     shares = [i / bins for i in range(1, bins)]
     found = rows.agg(*[F.percentile_approx(name, shares, 10_000).alias(f"q{i}") for i, name in enumerate(columns)]).first()
-    return [sorted(set(values or [])) for values in found]
+    return [sorted({value + _NOISE * (1 + abs(value)) for value in values or []}) for values in found]
 
 
 # A row as trees see it: one byte an input, label, weight, margin, and a number that samples go by.

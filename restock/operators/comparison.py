@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from restock import schema as S
@@ -156,20 +157,43 @@ def numeric_scales(clean_train: DataFrame, columns: list[str] = S.COMPARISON_NUM
     return clean_train.agg(*measures)
 
 
-def comparison_encode(clean: DataFrame, clean_train: DataFrame) -> DataFrame:
-    """Standardised numbers and ordinal codes fitted on the train rows; unknown values get -2."""
-    codes, scales = category_codes(clean_train), numeric_scales(clean_train)
-    scale = scales.select(F.struct(*S.COMPARISON_NUMERIC)).scalar()
+@dataclass(frozen=True)
+class Encoding:
+    """Codes of categories and scales of numbers, fitted on train rows; both are tables and can be stored."""
+
+    codes: DataFrame
+    scales: DataFrame
+
+    @classmethod
+    def fit(cls, clean_train: DataFrame) -> Encoding:
+        return cls(category_codes(clean_train), numeric_scales(clean_train))
+
+    def save(self, path: str) -> None:
+        self.codes.write.mode("overwrite").parquet(f"{path}/codes")
+        self.scales.write.mode("overwrite").parquet(f"{path}/scales")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Encoding:
+        return cls(spark.read.parquet(f"{path}/codes"), spark.read.parquet(f"{path}/scales"))
 
-    def standard(name: str) -> Column:
-        centred = F.coalesce(name, F.lit(0.0)) - F.col(f"_scale.{name}.mean")
-        spread = F.col(f"_scale.{name}.deviation")
-        return centred / F.when(spread > 0, spread).otherwise(1.0)
+    def apply(self, clean: DataFrame) -> DataFrame:
+        """Standardised numbers and ordinal codes; values that the train rows do not hold get -2."""
+        scale = self.scales.select(F.struct(*S.COMPARISON_NUMERIC)).scalar()
 
-    def coded(df: DataFrame, name: str) -> DataFrame:
-        table = codes.filter(F.col("column_name") == name).select(F.col("value").alias(name), F.col("code").alias("_code"))
-        joined = df.join(table, name, "left")
-        return joined.withColumn(name, F.coalesce("_code", F.lit(UNKNOWN_CODE))).drop("_code")
+        def standard(name: str) -> Column:
+            centred = F.coalesce(name, F.lit(0.0)) - F.col(f"_scale.{name}.mean")
+            spread = F.col(f"_scale.{name}.deviation")
+            return centred / F.when(spread > 0, spread).otherwise(1.0)
 
-    scaled = clean.withColumn("_scale", scale).withColumns({name: standard(name) for name in S.COMPARISON_NUMERIC})
-    return reduce(coded, S.COMPARISON_CATEGORICAL, scaled.drop("_scale"))
+        def coded(df: DataFrame, name: str) -> DataFrame:
+            of_column = self.codes.filter(F.col("column_name") == name)
+            table = of_column.select(F.col("value").alias(name), F.col("code").alias("_code"))
+            return df.join(table, name, "left").withColumn(name, F.coalesce("_code", F.lit(UNKNOWN_CODE))).drop("_code")
+
+        scaled = clean.withColumn("_scale", scale).withColumns({name: standard(name) for name in S.COMPARISON_NUMERIC})
+        return reduce(coded, S.COMPARISON_CATEGORICAL, scaled.drop("_scale"))
+
+
+def comparison_encode(clean: DataFrame, clean_train: DataFrame) -> DataFrame:
+    """Standardised numbers and ordinal codes fitted on the train rows; unknown values get -2."""
+    return Encoding.fit(clean_train).apply(clean)

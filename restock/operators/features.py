@@ -7,8 +7,9 @@ at the whole hourly timeline of a split, stockout hours included.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from restock import schema as S
@@ -300,6 +301,11 @@ def prepare_features(features: DataFrame, fraction: float = 0.15, advanced: bool
     cells, by_store, by_category = grouped_once(
         parts, [_CELL, _STORE_HOUR, _CATEGORY_HOUR], [*_cell_sums(), F.sum("observed_sales_amount").alias("_sales")]
     )
+    return _enriched(parts, cells, by_store, by_category)
+
+
+def _enriched(parts: DataFrame, cells: DataFrame, by_store: DataFrame, by_category: DataFrame) -> DataFrame:
+    """All inputs from rows with their parts, sums of their hours and the cells that priors are rolled up from."""
     timed = promo_weather(cyclic_time(lags(parts)))
     timed = join_history(timed, store_history(parts, by_store), _STORE_HOUR)
     timed = join_history(timed, category_history(parts, per_hour=by_category), _CATEGORY_HOUR)
@@ -312,3 +318,39 @@ def prepare_features(features: DataFrame, fraction: float = 0.15, advanced: bool
 def _prior_columns() -> list[str]:
     means = [f"{group}_mean" for group in S.PRIOR_GROUPS]
     return means + [f"{group}_count_log1p" for group in S.PRIOR_GROUPS] + S.STOCKOUT_FEATURES
+
+
+@dataclass(frozen=True)
+class Preparation:
+    """What the features have learned from the fit part: sums and counts per cell, a table of its own.
+
+    Stored beside a model it prepares rows of a new day without any train row. Priors, rates and
+    the overall mean are all rolled up from the cells. Lags and histories look at the new rows alone,
+    as they do per split.
+    """
+
+    cells: DataFrame
+
+    @classmethod
+    def of(cls, prepared: DataFrame) -> Preparation:
+        """The state behind rows that ``prepare_features`` gave."""
+        return cls(prepared.filter(F.col("part") == FIT).groupBy(*_CELL).agg(*_cell_sums()))
+
+    def save(self, path: str) -> None:
+        self.cells.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/cells")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Preparation:
+        return cls(spark.read.parquet(f"{path}/cells"))
+
+    def apply(self, features: DataFrame, part: str = EVAL) -> DataFrame:
+        """Rows of the hourly feature view with all inputs, as ``part``; equal to preparing them with the train rows."""
+        rows = demand_target(features).withColumn("part", F.lit(part))
+        sums = F.sum("observed_sales_amount").alias("_sales")
+        new, by_store, by_category = grouped_once(rows, [_CELL, _STORE_HOUR, _CATEGORY_HOUR], [sums])
+        # Cells that only the new rows reach count for no mean, but rows are joined through them.
+        none = [F.lit(None).cast(kind).alias(name) for name, kind in self.cells.dtypes if name in ("_sum", "_flagged")]
+        unknown = new.select(*_CELL, *none, F.lit(0).cast("long").alias("_count"), F.lit(0).cast("long").alias("_rows"))
+        every = self.cells.unionByName(unknown).groupBy(*_CELL)
+        cells = materialise(every.agg(*[F.sum(name).alias(name) for name in ("_sum", "_count", "_flagged", "_rows")]))
+        return _enriched(rows, cells, by_store, by_category)

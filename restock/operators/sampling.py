@@ -41,6 +41,31 @@ def sample_head(df: DataFrame, order: list[str], n: int) -> DataFrame:
     return first_rows(df, order, n)
 
 
+def _by_file(df: DataFrame) -> DataFrame:
+    """Rows of files with the place they have there; it does not depend on how files are split."""
+    about = df.metadataColumn("_metadata")
+    return df.select("*", *[about[name].alias(f"_{name}") for name in ("file_path", "file_name", "row_index")])
+
+
+def sample_file_head(df: DataFrame, n: int) -> DataFrame:
+    """The first n rows as they lie in the files, files by path. ``df`` is a scan of files."""
+    return first_rows(_by_file(df), ["_file_path", "_row_index"], n).select(df.columns)
+
+
+def sample_file_blocks(df: DataFrame, n: int, block_rows: int = 10_000, seed: int = 42) -> DataFrame:
+    """n rows from random blocks of neighbouring rows: blocks in hash order, the last one cut where n is reached.
+
+    Blocks are chosen from their sizes, for which no column of the rows is read; of the rows only those of
+    chosen blocks are ordered.
+    """
+    placed = _by_file(df).withColumn("_block", F.floor(F.col("_row_index") / block_rows))
+    block = ["_file_path", "_file_name", "_block"]
+    sizes = placed.groupBy(*block).agg(F.count(F.lit(1)).alias("_rows")).withColumn("_hash", hash_text(seed, block[1:]))
+    reached = running_total(sizes, ["_hash", "_file_path", "_block"], "_rows", "_reached")
+    chosen = reached.filter(F.col("_reached") - F.col("_rows") < n).select("_file_path", "_block", "_reached")
+    return first_rows(placed.join(chosen, ["_file_path", "_block"]), ["_reached", "_row_index"], n).select(df.columns)
+
+
 def _exact(value: Column) -> Column:
     """Products of two row counts can pass 64 bits."""
     return value.cast("decimal(19,0)")

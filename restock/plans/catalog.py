@@ -32,7 +32,7 @@ from restock.operators import (
     sampling,
 )
 from restock.plans.examples import ACTIVE_KEY, ExampleWarehouse, example_warehouse
-from restock.plans.jobs import train_job
+from restock.plans.jobs import score_job, train_job
 from restock.session import materialise, shared_folder
 from restock.sources import files, observations
 
@@ -224,6 +224,22 @@ def sample_head(w):
     return sampling.sample_head(train_obs(w).select(*OBS_COLUMNS), OBS_ORDER, 1000)
 
 
+def _event_file(w: ExampleWarehouse) -> DataFrame:
+    return w.spark.read.parquet(f"{w.source_folder}/events.parquet").select("event_id", "user_id", "event_type", "value")
+
+
+@query
+def sample_file_head(w):
+    """The first rows as they lie in the file."""
+    return sampling.sample_file_head(_event_file(w), 1500)
+
+
+@query
+def sample_file_blocks(w):
+    """Random blocks of 400 rows of the file, until there are 1500 rows."""
+    return sampling.sample_file_blocks(_event_file(w), 1500, block_rows=400)
+
+
 @query
 def sample_head_nulls(w):
     """More rows than a top-n takes, of an order whose leading column is null for one store in four."""
@@ -953,6 +969,16 @@ def prepare_features(w):
     )
 
 
+@query
+def prepare_features_saved(w):
+    """The eval rows alone, prepared with the stored state of the fit part."""
+    path = f"{shared_folder(w.spark)}/models/preparation"
+    features.Preparation.of(prepared(w)).save(path)
+    new_rows = w.training_features.filter(F.col("source_split") == "eval")
+    again = features.Preparation.load(w.spark, path).apply(new_rows)
+    return again.select(*S.HOURLY_KEY, "part", "demand_target", *S.ADVANCED_FEATURES)
+
+
 def comparison_hours(w: ExampleWarehouse) -> DataFrame:
     return comparison.comparison_hourly(w.observations)
 
@@ -1011,6 +1037,15 @@ def comparison_encode(w):
     return comparison.comparison_encode(clean, clean.filter(F.col("key_source_split") == "train"))
 
 
+@query
+def comparison_encode_saved(w):
+    """The eval rows alone, encoded with stored codes and scales."""
+    path = f"{shared_folder(w.spark)}/models/encoding"
+    clean = _comparison_clean(w)
+    comparison.Encoding.fit(clean.filter(F.col("key_source_split") == "train")).save(path)
+    return comparison.Encoding.load(w.spark, path).apply(clean.filter(F.col("key_source_split") == "eval"))
+
+
 # Models, evaluation and calibration.
 
 
@@ -1251,6 +1286,19 @@ def save_and_load_model_facts(w):
     return both.agg(F.count(F.lit(1)).alias("rows_scored"), F.count_if(F.col("prediction") != F.col("again")).alias("differing_rows"))
 
 
+@query
+def score_new_days(w):
+    """A saved model and preparation, and rows that the same model scores otherwise after preparing everything at once."""
+    path = f"{shared_folder(w.spark)}/models/scored"
+    model = direct_model(w, "tweedie")
+    model.save(path)
+    features.Preparation.of(prepared(w)).save(path)
+    again = score_job(w.spark, path, w.training_features.filter(F.col("source_split") == "eval"))
+    both = _predicted(w, model).join(again.select(*S.HOURLY_KEY, F.col("prediction").alias("again")), S.HOURLY_KEY)
+    apart = F.abs(F.col("prediction") - F.col("again")) > 1e-6
+    return both.agg(F.count(F.lit(1)).alias("rows_scored"), F.count_if(apart).alias("differing_rows"))
+
+
 def training_run(w: ExampleWarehouse):
     if not hasattr(w, "run_once"):
         w.run_once = train_job(w.training_features, prepared=prepared(w))

@@ -27,6 +27,7 @@ class ExampleWarehouse(Warehouse):
             spark.read.parquet(f"{source_folder}/events.parquet")
         )
         super().__init__(spark, folder, events)
+        self.source_folder = source_folder
         self._scored: dict[tuple[int, str], DataFrame] = {}
 
     @cached_property

@@ -195,11 +195,21 @@ def publish_run(
     if artifact_folder is not None:
         stem = f"{artifact_folder}/{name}_{version}"
         run.model.save(f"{stem}_model")
+        features.Preparation.of(run.features).save(f"{stem}_model")
         files.write_document(run.document(), f"{stem}_metrics.json")
         files.export_predictions(run.predictions(), f"{stem}_predictions.parquet")
     return key
 
 
+def score_job(spark: SparkSession, model_path: str, features_of_days: DataFrame, factor: float = 1.0) -> DataFrame:
+    """Predictions for rows of the hourly feature view by a saved model and its saved preparation.
+
+    Nothing of the rows the model was fitted on is read.
+    """
+    rows = features.Preparation.load(spark, model_path).apply(features_of_days)
+    return learning.DemandModel.load(model_path).predict(rows, factor)
+
+
 def import_job(
     warehouse: Warehouse,
     predictions_path: str,
