@@ -1,15 +1,18 @@
 """Chat formatting: schema fingerprints select declarative mappings into canonical turns.
 
-A record is JSON text of any layout. Its nested field paths, sorted and joined, are hashed; the hash
-selects a mapping from ``LAYOUTS``, which names where the turns and their roles and texts are. So a
-layout is looked at once per record and no field is guessed.
+A record is JSON text of any layout. Its nested field paths, as far as any layout knows them, are sorted,
+joined and hashed; the hash selects a mapping from ``LAYOUTS``, which names where the turns and their
+roles and texts are. So a layout is looked at once per record, no field is guessed, and fields that no
+layout knows, like an id or a name, change nothing. Roles stay as they are, but where a layout has names
+of its own for them.
 
 A turn is written as ``### <role>: <text> </turn>`` and a line end; roles begin with a capital. Inside
 texts a backslash goes before every backslash, ``#`` and ``<``, so no marker can stand in a text and
 reading back is exact; roles also escape ``:``. The loss mask covers the escaped texts of assistants.
 
 Defined cases: a null text is empty, a null role is an empty role. A record that is null, no JSON
-object or of an unknown layout has no turns and ``layout`` null. Turns of a conversation are ordered by
+object or of an unknown layout has no turns and ``layout`` null; it stays as one row without a turn, as
+does one with an empty list of turns. Turns of a conversation are ordered by
 their number, nulls first, then by role and text. Rows that repeat are turns of their own. Rows of one
 conversation are read as a sorted stream, so a conversation may be of any length.
 """
@@ -27,6 +30,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# What the layout with senders calls the roles.
+ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant", "ai": "assistant"}
+
 # Layouts by their field paths. ``turns``: a list with the fields of role and text; ``fields``: single
 # fields in order, each with its role; several fields of one role in a row are joined by a blank line.
 LAYOUTS: dict[str, dict] = {
@@ -34,7 +40,7 @@ LAYOUTS: dict[str, dict] = {
     "message": {"fields": [], "role": "role", "text": "content"},
     "messages": {"turns": "messages", "role": "role", "text": "content"},
     "turns": {"turns": "turns", "role": "role", "text": "text"},
-    "sharing": {"turns": "conversations", "role": "from", "text": "value"},
+    "sharing": {"turns": "conversations", "role": "from", "text": "value", "roles": ROLES},
     "prompt_response": {"fields": [("prompt", "user"), ("response", "assistant")]},
     "prompt_completion": {"fields": [("prompt", "user"), ("completion", "assistant")]},
     "system_prompt_response": {"fields": [("system", "system"), ("prompt", "user"), ("response", "assistant")]},
@@ -43,7 +49,6 @@ LAYOUTS: dict[str, dict] = {
     "instruction_input": {"fields": [("instruction", "user"), ("input", "user"), ("output", "assistant")]},
     "system_messages": {"fields": [("system", "system")], "turns": "messages", "role": "role", "text": "content"},
 }
-ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant", "ai": "assistant"}
 LOSS_ROLE = "assistant"
 OPEN, CLOSE = "### ", " </turn>\n"
 TURN = T.StructType([T.StructField("role", T.StringType()), T.StructField("text", T.StringType())])
@@ -70,12 +75,20 @@ def _layout_paths(layout: dict) -> set[str]:
     return paths | {layout[part] for part in ("role", "text") if part in layout}
 
 
-BY_FINGERPRINT = {fingerprint_of(_layout_paths(layout)): name for name, layout in LAYOUTS.items()}
+def _empty_paths(layout: dict) -> set[str]:
+    """Of a layout with a list of turns, the paths of a record whose list is empty."""
+    return {name for name, _ in layout.get("fields", [])} | {f"{layout['turns']}[]"}
 
 
-def _role(value: object) -> str:
+_PATHS = {name: _layout_paths(layout) for name, layout in LAYOUTS.items()}
+_EMPTY = {name: _empty_paths(layout) for name, layout in LAYOUTS.items() if "turns" in layout}
+KNOWN = set().union(*_PATHS.values(), *_EMPTY.values())
+BY_FINGERPRINT = {fingerprint_of(paths): name for named in (_EMPTY, _PATHS) for name, paths in named.items()}
+
+
+def _role(value: object, names: dict[str, str]) -> str:
     role = "" if value is None else str(value)
-    return ROLES.get(role, role)
+    return names.get(role, role)
 
 
 def _text(value: object) -> str:
@@ -90,7 +103,7 @@ def canonical(record: str | None) -> tuple[str | None, list[dict]]:
         return None, []
     if not isinstance(value, dict):
         return None, []
-    name = BY_FINGERPRINT.get(fingerprint_of(paths_of(value)))
+    name = BY_FINGERPRINT.get(fingerprint_of(paths_of(value) & KNOWN))
     if name is None:
         return None, []
     layout = LAYOUTS[name]
@@ -102,7 +115,8 @@ def canonical(record: str | None) -> tuple[str | None, list[dict]]:
         else:
             turns.append({"role": role, "text": text})
     listed = value[layout["turns"]] if "turns" in layout else [value] if "role" in layout else []
-    turns += [{"role": _role(turn.get(layout["role"])), "text": _text(turn.get(layout["text"]))} for turn in listed]
+    names = layout.get("roles", {})
+    turns += [{"role": _role(turn.get(layout["role"]), names), "text": _text(turn.get(layout["text"]))} for turn in listed]
     return name, turns
 
 
@@ -149,9 +163,12 @@ def read_back(output: str) -> list[tuple[str, str, int, int]]:
 
 
 def turn_rows(records: DataFrame, key: str, order: str, record: str) -> DataFrame:
-    """Canonical turns of all records: key, place (record's order and place in it), role, text, output."""
+    """Canonical turns of all records: key, place (record's order and place in it), role, text, output.
+
+    A record without turns has one row in which all but key, order and layout are null.
+    """
     found = records.select(F.col(key).alias("key"), F.col(order).alias("at"), canonical_turns(record).alias("found"))
-    turns = found.select("key", "at", "found.layout", F.posexplode("found.turns").alias("place", "turn"))
+    turns = found.select("key", "at", "found.layout", F.posexplode_outer("found.turns").alias("place", "turn"))
     return turns.select(
         "key", "at", "place", "layout", formatted(F.col("turn.role"), F.col("turn.text")).alias("output"),
         F.col("turn.role").alias("role"), F.col("turn.text").alias("text"),
@@ -192,7 +209,8 @@ def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if digest is not None:
                     rows.append((current, *digest.values()))
                 current, digest = key, _Digest()
-            digest.add(output)
+            if output is not None:
+                digest.add(output)
         yield pd.DataFrame(rows, columns=["key", *names])
     if digest is not None:
         yield pd.DataFrame([(current, *digest.values())], columns=["key", *names])

@@ -59,8 +59,7 @@ FROM texts LEFT JOIN per_row USING (r)
 
 CHAT_FORMAT = r"""
 WITH turns AS (
-  SELECT conv_id, turn, COALESCE(text, '') AS text,
-         CASE WHEN role IN ('gpt', 'bot', 'model', 'ai') THEN 'assistant' WHEN role = 'human' THEN 'user' ELSE COALESCE(role, '') END AS role
+  SELECT conv_id, turn, COALESCE(text, '') AS text, COALESCE(role, '') AS role
   FROM (SELECT conv_id, turn, role, text FROM conversations
         UNION ALL SELECT -7, UNNEST([0, 1]), UNNEST(['user', 'assistant']), '\### Assistant: </turn> ok')),
 sized AS (

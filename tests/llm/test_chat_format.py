@@ -70,11 +70,34 @@ def test_layouts_are_told_by_their_paths(spark):
         assert [(t.role, t.text) for t in row.found.turns] == [("user", "a"), ("assistant", "b")]
 
 
-def test_records_without_a_layout(spark):
-    odd = [None, "", "no json", "[]", "3", "{}", '{"prompt": "a"}', '{"prompt": "a", "response": "b", "more": 1}', '{"messages": []}']
-    table = spark.createDataFrame([(i, 0, record) for i, record in enumerate(odd)], "conv_id long, turn long, record string")
-    assert all(row.found.layout is None for row in table.select(cf.canonical_turns("record").alias("found")).collect())
-    assert cf.turn_rows(table, "conv_id", "turn", "record").collect() == []
+def canonical(spark, records):
+    table = spark.createDataFrame([(i, 0, record) for i, record in enumerate(records)], "conv_id long, turn long, record string")
+    return table, [row.found for row in table.select(cf.canonical_turns("record").alias("found")).collect()]
+
+
+def test_records_without_a_layout_stay_as_rows(spark):
+    odd = [None, "", "no json", "[]", "3", "{}", '{"prompt": "a"}', '{"messages": [{"role": "user"}]}', '{"messages": []}']
+    table, found = canonical(spark, odd)
+    assert [one.layout for one in found] == [None] * 8 + ["messages"]
+    rows = cf.turn_rows(table, "conv_id", "turn", "record").collect()
+    assert sorted(row.key for row in rows) == list(range(9)) and all(row.output is None for row in rows)
+    digests = cf.digests(cf.turn_rows(table, "conv_id", "turn", "record")).collect()
+    assert sorted((row.key, row.n_turns, row.formatted_chars) for row in digests) == [(i, 0, 0) for i in range(9)]
+
+
+def test_unknown_fields_change_nothing(spark):
+    records = [
+        '{"prompt": "a", "response": "b", "more": 1}',
+        '{"id": 7, "messages": [{"role": "user", "content": "a", "name": "x"}, {"role": "assistant", "content": "b"}], "tags": []}',
+        '{"conversations": [{"from": "human", "value": "a", "weight": 0}, {"from": "gpt", "value": "b"}], "source": {"url": "u"}}',
+    ]
+    for one in canonical(spark, records)[1]:
+        assert [(t.role, t.text) for t in one.turns] == [("user", "a"), ("assistant", "b")]
+
+
+def test_roles_of_rows_stay_as_they_are(spark):
+    rows = [(1, i, role, "x") for i, role in enumerate(["human", "gpt", "model", "ai", "bot", "assistant"])]
+    assert [row.role for row in sorted(turns_of(spark, rows).collect(), key=lambda row: row["at"])] == [row[2] for row in rows]
 
 
 def test_empty_table(spark):
