@@ -13,7 +13,7 @@ with the largest gain, up to a number of leaves. Each of them scans the rows onc
 best-first trees the children of all open leaves are summed ahead, in one scan.
 
 Inputs are cut into at most 256 bins at quantiles; a row is kept as one byte an input, its label,
-weight and margin. Each tree sees a share of the rows, chosen by a hash of the row, and of the inputs.
+weight and margin, and rows are kept in blocks. Each tree sees a share of the rows, chosen by a hash of the row, and of the inputs.
 Margins are written anew after ``REFRESH`` trees, so a scan applies few trees. What comes to the driver
 is bounded by nodes, inputs and bins, whatever the number of rows.
 
@@ -203,36 +203,52 @@ def cut_points(rows: DataFrame, columns: list[str], bins: int) -> list[list[floa
     return [sorted({value + _NOISE * (1 + abs(value)) for value in values or []}) for values in found]
 
 
-# A row as trees see it: one byte an input, label, weight, margin, and a number that samples go by.
-_BINNED = "bins binary, label double, weight double, margin double, place long"
+# Rows as trees see them, in blocks: one byte an input and row, and the numbers of all rows of the block. A
+# task then gets a few large values instead of many small rows.
+_BLOCKS = "bins binary, label binary, weight binary, margin binary, place binary"
+_NUMBERS = (np.float64, np.float64, np.float64, np.int64)
 _CELLS = "cell long, g double, h double"
-
-
-def _matrix(batch: pa.RecordBatch, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(batch.num_rows, width)
+# Rows of a block, and blocks that are worked on at a time.
+BLOCK_ROWS = 1024
+_TOGETHER = 16
 
 
 def _batch(columns: dict[str, np.ndarray | pa.Array]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(values) for values in columns.values()], names=list(columns))
 
 
+def _blocks(values: list[np.ndarray]) -> pa.RecordBatch:
+    """Bins, label, weight, margin and place of rows, as blocks."""
+    starts = range(0, len(values[1]), BLOCK_ROWS)
+    names = [part.split()[0] for part in _BLOCKS.split(", ")]
+    parts = [pa.array([v[i : i + BLOCK_ROWS].tobytes() for i in starts], pa.binary()) for v in values]
+    return _batch(dict(zip(names, parts, strict=True)))
+
+
+def _rows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[list[np.ndarray]]:
+    """Bins, label, weight, margin and place, some blocks at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, _TOGETHER):
+            joined = [b"".join(column.to_pylist()) for column in batch.slice(start, _TOGETHER).columns]
+            numbers = [np.frombuffer(part, kind) for part, kind in zip(joined[1:], _NUMBERS, strict=True)]
+            yield [np.frombuffer(joined[0], np.uint8).reshape(len(numbers[0]), width), *numbers]
+
+
 def _binned(cuts: list[list[float]], base: float):
     def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(len(cuts))]
-            rows = [row.tobytes() for row in bins_of(values, cuts)] if cuts else [b""] * batch.num_rows
-            label, weight, place = (batch.column(len(cuts) + i) for i in range(3))
-            margin = pa.array(np.full(batch.num_rows, base))
-            yield _batch({"bins": pa.array(rows, pa.binary()), "label": label, "weight": weight, "margin": margin, "place": place})
+            columns = [column.to_numpy(zero_copy_only=False) for column in batch.columns]
+            label, weight, place = columns[len(cuts) :]
+            bins = bins_of(columns[: len(cuts)], cuts) if cuts else np.zeros((len(label), 0), np.uint8)
+            yield _blocks([bins, label, weight, np.full(len(label), base), place])
 
     return binned
 
 
 def _advanced(trees: list[Tree], width: int):
     def advanced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            margin = batch.column("margin").to_numpy() + sum(tree.values_of(_matrix(batch, width)) for tree in trees)
-            yield _batch({name: pa.array(margin) if name == "margin" else batch.column(name) for name in batch.schema.names})
+        for binned, label, weight, margin, place in _rows(batches, width):
+            yield _blocks([binned, label, weight, margin + sum(tree.values_of(binned) for tree in trees), place])
 
     return advanced
 
@@ -250,17 +266,18 @@ def _sums(options: BoostingOptions, trees: list[Tree], grown: Tree, asked: list[
     position[asked] = np.arange(len(asked))
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, math.prod(shape)))
-        for batch in batches:
-            binned = _matrix(batch, width)
-            label, weight, margin, place = (batch.column(i).to_numpy() for i in range(1, 5))
+        total = np.zeros((2, *shape))
+        for binned, label, weight, margin, place in _rows(batches, width):
             margin = margin + sum(tree.values_of(binned) for tree in trees)
             at = position[grown.nodes_of(binned)]
             chosen = (at >= 0) & sampled(place, options.row_share, seed)
             g, h = (weight[chosen] * part[chosen] for part in gradients(options, label, margin))
-            cells = (at[chosen, None] * width + np.arange(width)) * options.bins + binned[chosen]
-            for i, part in enumerate((g, h)):
-                total[i] += np.bincount(cells.ravel(), np.repeat(part, width), total.shape[1])
+            first, by_input = at[chosen] * options.bins, np.ascontiguousarray(binned[chosen].T)
+            for column, values in enumerate(by_input):
+                cells = first + values
+                for i, part in enumerate((g, h)):
+                    total[i, :, column] += np.bincount(cells, part, len(asked) * options.bins).reshape(len(asked), -1)
+        total = total.reshape(2, -1)
         held = np.flatnonzero(total[1])
         yield _batch({"cell": held, "g": total[0, held], "h": total[1, held]})
 
@@ -414,12 +431,12 @@ def fit(rows: DataFrame, columns: list[str], label: Column, weight: Column, opti
         return Boosted(options, columns, [[]] * width, none)
     cuts = cut_points(table, names, options.bins)
     model = Boosted(options, columns, cuts, base_margin(options.objective, mean))
-    table = materialise(table.mapInArrow(_binned(cuts, model.base), _BINNED))
+    table = materialise(table.mapInArrow(_binned(cuts, model.base), _BLOCKS))
     chance = np.random.default_rng(options.seed)
     since: list[Tree] = []
     for turn in range(options.trees):
         if len(since) == REFRESH:
-            table = materialise(table.mapInArrow(_advanced(since, width), _BINNED))
+            table = materialise(table.mapInArrow(_advanced(since, width), _BLOCKS))
             since = []
         chosen = chance.permutation(width) < max(1, round(options.column_share * width))
 
