@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,6 +49,30 @@ def as_bytes(texts: pd.Series) -> Iterator[bytes]:
         yield b"" if text is None or text != text else text.encode("utf-8", "surrogatepass")
 
 
+_BUCKET = 32_768
+
+
+class Places:
+    """Hash places of a set of 64-bit codes, one bit each: every code of the set is found, and few others.
+
+    ``size`` is a power of two from 32,768 on; what tasks receive is ``size`` / 8 bytes, whatever the set.
+    """
+
+    def __init__(self, codes: DataFrame, column: str, size: int):
+        self.size = size
+        at = F.pmod(F.col(column), F.lit(self.size)) + 1
+        buckets = codes.groupBy(F.bitmap_bucket_number(at).alias("bucket"))
+        found = buckets.agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).collect()
+        self.bits = np.zeros(self.size // 8, np.uint8)
+        for row in found:
+            start = (row.bucket - 1) * (_BUCKET // 8)
+            self.bits[start : start + _BUCKET // 8] = np.frombuffer(row.bits, np.uint8)
+
+    def hold(self, codes: np.ndarray) -> np.ndarray:
+        at = codes & np.uint64(self.size - 1)
+        return (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
 # Hash places that stand for keys in a filter; what is broadcast is never larger than this many rows.
 PLACES = 1 << 20
 

@@ -22,16 +22,19 @@ Rows that repeat keep their rows.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import compress, islice, takewhile
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from restock.llm.common import is_held_out, likely, written
+from restock.llm.common import Places, is_held_out, likely, written
 
 SAMPLE_ROWS = 3_000
 SHORTEST, LONGEST = 4, 12
@@ -47,6 +50,8 @@ REPORTS = frozenset(
 )
 _TOKEN = re.compile(r"\w+|[\"'“”„«»‘’‹›]")
 _CACHE_WORDS = 400_000
+# Hash places of terms of toxic rows: 2 MB in every task.
+PLACES = 1 << 24
 _WHOLE = "$"
 
 
@@ -67,8 +72,15 @@ def _words(text: str | None) -> list[str]:
     return _TOKEN.findall(text.lower()) if text else []
 
 
-def _term_counts(wanted: frozenset[str] | None):
-    """Rows that hold each term, within a task; of all terms or of the wanted ones."""
+def _term_counts(wanted: Places | None):
+    """Rows that hold each term, within a task; of all terms or of those at wanted places."""
+
+    def chosen(word: str) -> tuple[str, ...]:
+        terms = tuple(terms_of(word))
+        if wanted is None:
+            return terms
+        codes = [xxhash.xxh64_intdigest(term.encode("utf-8", "surrogatepass"), 42) for term in terms]
+        return tuple(compress(terms, wanted.hold(np.array(codes, np.uint64)).tolist()))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: Counter[str] = Counter()
@@ -85,7 +97,7 @@ def _term_counts(wanted: frozenset[str] | None):
                     if terms is None:
                         if len(known) > _CACHE_WORDS:
                             known.clear()
-                        terms = known[word] = tuple(t for t in terms_of(word) if wanted is None or t in wanted)
+                        terms = known[word] = chosen(word)
                     held.update(terms)
                 counts.update(held)
             if len(counts) > 500_000:
@@ -120,8 +132,10 @@ def chosen_terms(table: pd.DataFrame, n_toxic: int, n_clean: int) -> dict[str, f
         if not any(begin in kept and strength[term][1] <= strength[begin][1] for begin in shorter):
             kept[term] = float(strength[term][0])
     # Of beginnings that hold the same rows the longest says most, a whole word even more.
+    ordered = sorted(strength)
     for term in list(kept):
-        same = [t for t in strength if t.startswith(term) and strength[t][1] == strength[term][1]]
+        begun = takewhile(lambda t, term=term: t.startswith(term), islice(ordered, bisect_left(ordered, term), None))
+        same = [t for t in begun if strength[t][1] == strength[term][1]]
         longest = max(same, key=lambda t: (len(t), t))
         kept[longest] = float(strength[longest][0])
         if longest != term:
@@ -329,22 +343,31 @@ def logistic(sums: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
 def lexicon_of(training: DataFrame, n_toxic: int, n_clean: int) -> dict[str, float]:
     """Lexicon from rows (text, label): terms of toxic rows first, then the clean rows that hold them.
 
-    A term needs enough toxic rows to pass the ratio even without a clean one, and is then counted in
-    the clean rows. What comes back is bounded: entries hold at least half of their rows' labels.
+    A term needs enough toxic rows to pass the ratio even without a clean one, whatever the number of
+    rows, and is then counted in the clean rows. Both counts stay in Spark; the driver receives the
+    terms that pass ratio and precision.
     """
     if not n_toxic or not n_clean:
         return {}
     alone = 2 * np.log((n_toxic + n_clean) / n_toxic)
-    least = max(2.0, LEAST_RATIO / alone, 0.001 * n_toxic)
+    least = max(2.0, LEAST_RATIO / alone)
 
-    def counted(label: int, wanted: frozenset[str] | None) -> DataFrame:
+    def counted(label: int, wanted: Places | None) -> DataFrame:
         rows = training.filter(F.col("label") == label).select("text")
         return rows.mapInPandas(_term_counts(wanted), "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
-    toxic = counted(1, None).filter(F.col("n") >= least).toPandas()
-    clean = counted(0, frozenset(toxic["term"])).toPandas()
-    table = toxic.rename(columns={"n": "toxic"}).merge(clean.rename(columns={"n": "clean"}), on="term", how="left")
-    return chosen_terms(table.fillna({"clean": 0}), n_toxic, n_clean)
+    toxic = written(counted(1, None).filter(F.col("n") >= least).withColumnRenamed("n", "toxic"))
+    wanted = Places(toxic.select(F.xxhash64("term").alias("code")), "code", PLACES)
+    clean = counted(0, wanted).withColumnRenamed("n", "clean")
+    both = toxic.join(clean, "term", "left").fillna({"clean": 0})
+    total = F.col("toxic") + F.col("clean")
+    parts = [
+        F.when(F.col(name) > 0, F.col(name) * F.log(F.col(name) * (n_toxic + n_clean) / (total * n))).otherwise(0.0)
+        for name, n in (("toxic", n_toxic), ("clean", n_clean))
+    ]
+    # The last digits are decided by the same tests on the driver.
+    likely_terms = (2 * (parts[0] + parts[1]) >= LEAST_RATIO - 1e-6) & (F.col("toxic") >= LEAST_PRECISION * total - 1e-6)
+    return chosen_terms(both.filter(likely_terms).toPandas(), n_toxic, n_clean)
 
 
 _scorers: dict[int, Scorer] = {}

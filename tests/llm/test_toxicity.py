@@ -88,6 +88,18 @@ def test_common_clean_forms_and_evidence(spark, tmp_path):
     assert all(found[i] == toxic for i, _, toxic in marks) and (found[300], found[301]) == (1, 0)
 
 
+def test_rare_terms_of_many_toxic_rows(spark):
+    """A term in 99 of 100,000 toxic rows and in no clean row is an entry; one that clean rows hold as often is none."""
+    rows = spark.range(200_000).selectExpr(
+        "CASE WHEN id < 99 THEN 'zorgblat here' WHEN id % 1000 = 500 THEN 'plainword here'"
+        " ELSE concat('filler', id % 50) END AS text",
+        "CAST(id < 100000 AS INT) AS label",
+    )
+    lexicon = toxicity.lexicon_of(rows, 100_000, 100_000)
+    assert [term for term in lexicon if "zorgblat$".startswith(term)] == ["zorgblat$"]
+    assert not any(term.startswith("plai") for term in lexicon)
+
+
 def test_odd_rows_and_labels(spark, tmp_path):
     docs = stored(spark, tmp_path, ODD)
     given = labels(spark, [(1, 1, 1), (1, 1, 0), (5, 0, 0), (2, None, None), (None, 1, 1), (99, 0, 1), (6, 1, 7)])
