@@ -1,5 +1,9 @@
 """One statement per query, as (SQL, names of its double columns)."""
 
+import re
+
+from oracle.base import RELATIONS
+
 STATEMENTS: dict[str, tuple[str, str]] = {}
 
 
@@ -1029,6 +1033,28 @@ add(
        JOIN (SELECT date_key, COUNT(*) AS n FROM hourly GROUP BY date_key) USING (date_key) GROUP BY full_date""",
     "sales",
 )
+# Four dates with other hours, and the relations that follow from them.
+RELATIONS["hourly_again"] = """
+SELECT * REPLACE (IF(changed, 2 * observed_sales_amount, observed_sales_amount) AS observed_sales_amount,
+                  stockout_flag <> changed AS stockout_flag)
+FROM (SELECT *, date_key BETWEEN 20240124 AND 20240127 AS changed FROM hourly)
+"""
+FOLLOWING = ("features", "parts", "priors", "sums", "means", "baselines")
+for name in FOLLOWING:
+    text = re.sub(r"\b(FROM|JOIN) hourly\b", r"\1 hourly_again AS hourly", RELATIONS[name])
+    RELATIONS[f"{name}_again"] = re.sub(rf"\b(FROM|JOIN) ({'|'.join(FOLLOWING)})\b", r"\1 \2_again", text)
+add("stored_baselines", f"SELECT store_key, product_key, time_key, {', '.join(AVERAGES.split())} FROM baselines_again", AVERAGES)
+add("stored_priors", f"SELECT {KEY}, {', '.join(PRIORS + RATES)} FROM priors_again", " ".join(PRIORS + RATES))
+add(
+    "stored_lags",
+    f"SELECT * FROM ({STATEMENTS['lags'][0]}) WHERE date_key > 20240120",
+    STATEMENTS["lags"][1],
+)
+add(
+    "prepare_features_continued",
+    f"SELECT * EXCLUDE (part) FROM ({STATEMENTS['prepare_features'][0]}) WHERE part = 'calibration'",
+    STATEMENTS["prepare_features"][1],
+)
 add(
     "stored_reset",
     """SELECT UNNEST(['observations', 'dim_date', 'dim_time', 'dim_city', 'dim_store', 'dim_product', 'dim_model', 'fact_daily',

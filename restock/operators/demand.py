@@ -26,13 +26,20 @@ def baseline_cells(hourly: DataFrame, products: DataFrame) -> DataFrame:
     written; coarser averages are rolled up from those sums and counts. No group of fact rows ever
     has to sit in one task, however many rows an hour or a product has.
     """
-    finest = BASELINE_LEVELS["store_product_hour_avg"]
     sold = F.when(~F.col("stockout_flag"), F.col("observed_sales_amount"))
-    cells = materialise(
-        hourly.groupBy(*finest)
-        .agg(F.sum(sold).alias("_sum"), F.count(sold).alias("_count"))
-        .join(products.select("product_key", "first_category_id"), "product_key")
-    )
+    sums = [F.sum(sold).alias("_sum"), F.count(sold).alias("_count")]
+    return _rolled_up(hourly.groupBy(*BASELINE_LEVELS["store_product_hour_avg"]).agg(*sums), products)
+
+
+def baseline_cells_of_sums(hour_sums: DataFrame, products: DataFrame) -> DataFrame:
+    """The same from stored sums by period (``hour_sums``), without the fact."""
+    sums = [F.sum("sold_sum").alias("_sum"), F.sum("sold_count").alias("_count")]
+    return _rolled_up(hour_sums.groupBy(*BASELINE_LEVELS["store_product_hour_avg"]).agg(*sums), products)
+
+
+def _rolled_up(sums: DataFrame, products: DataFrame) -> DataFrame:
+    finest = BASELINE_LEVELS["store_product_hour_avg"]
+    cells = materialise(sums.join(products.select("product_key", "first_category_id"), "product_key"))
     result = cells
     for name, keys in BASELINE_LEVELS.items():
         if keys == finest:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,6 +17,9 @@ from restock import schema as S
 from restock.operators.ordering import ordered_position
 from restock.session import materialise
 
+if TYPE_CHECKING:
+    from restock.operators.boundary import Boundary
+
 FIT, CALIBRATION, EVAL = "fit", "calibration", "eval"
 ROW_ORDER = ["full_date", "time_key", "store_id", "product_id"]
 
@@ -87,7 +91,8 @@ def hours_since_epoch(day: Column, hour: Column) -> Column:
     return F.unix_date(day) * S.HOURS_PER_DAY + hour
 
 
-def _sale_hour() -> Column:
+def sale_hour() -> Column:
+    """The hour, counted since 1970, if something was sold in it."""
     clock = hours_since_epoch(F.col("full_date"), F.col("hour_of_day"))
     return F.when(F.coalesce("observed_sales_amount", F.lit(0.0)) > 0, clock)
 
@@ -107,24 +112,28 @@ def rolling_sum(features: DataFrame, rows: int = 24) -> DataFrame:
     return features.withColumn(f"product_sales_lag_{rows}h_sum", F.coalesce(earlier, F.lit(0.0)))
 
 
-def days_since_previous_sale(features: DataFrame) -> DataFrame:
-    """Days since the last sale before this hour; -1 when there was none."""
+def days_since_previous_sale(features: DataFrame, sold_before: Column | None = None) -> DataFrame:
+    """Days since the last sale before this hour; -1 when there was none.
+
+    ``sold_before`` gives the hour of a sale that stands for the rows before the first one.
+    """
     before = _series().rowsBetween(Window.unboundedPreceding, -1)
-    return features.withColumn("days_since_previous_sale", _days_since(F.last(_sale_hour(), True).over(before)))
+    sold = sale_hour() if sold_before is None else F.coalesce(sale_hour(), sold_before)
+    return features.withColumn("days_since_previous_sale", _days_since(F.last(sold, True).over(before)))
 
 
 def days_since_last_sale(features: DataFrame) -> DataFrame:
     """Days since the last sale up to and including this hour."""
     so_far = _series().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return features.withColumn("days_since_last_sale", _days_since(F.last(_sale_hour(), True).over(so_far)))
+    return features.withColumn("days_since_last_sale", _days_since(F.last(sale_hour(), True).over(so_far)))
 
 
-def lags(features: DataFrame) -> DataFrame:
+def lags(features: DataFrame, sold_before: Column | None = None) -> DataFrame:
     """The three pair-level features over one shared sort."""
-    return days_since_previous_sale(rolling_sum(lag_one(features)))
+    return days_since_previous_sale(rolling_sum(lag_one(features)), sold_before)
 
 
-def _per_hour(features: DataFrame, owner: str) -> DataFrame:
+def sales_per_hour(features: DataFrame, owner: str) -> DataFrame:
     """Sales per owner and hour: one row per 24th of a calendar day."""
     return features.groupBy("source_split", owner, "date_key", "time_key").agg(
         F.sum("observed_sales_amount").alias("_sales")
@@ -139,7 +148,7 @@ def store_history(features: DataFrame, per_hour: DataFrame | None = None) -> Dat
     """The store's sales in its previous hour, 0 before the first: one row per store and hour."""
     order = Window.partitionBy("source_split", "store_id").orderBy("date_key", "time_key")
     traffic = F.coalesce(F.lag("_sales", 1).over(order), F.lit(0.0))
-    sums = _per_hour(features, "store_id") if per_hour is None else per_hour
+    sums = sales_per_hour(features, "store_id") if per_hour is None else per_hour
     return sums.select(*_STORE_HOUR, traffic.alias("store_traffic_lag_1h"))
 
 
@@ -147,7 +156,7 @@ def category_history(features: DataFrame, rows: int = 24, per_hour: DataFrame |
     """The category's sales over its 24 hours before this one: one row per category and hour."""
     order = Window.partitionBy("source_split", "first_category_id").orderBy("date_key", "time_key")
     momentum = F.coalesce(F.sum("_sales").over(order.rowsBetween(-rows, -1)), F.lit(0.0))
-    sums = _per_hour(features, "first_category_id") if per_hour is None else per_hour
+    sums = sales_per_hour(features, "first_category_id") if per_hour is None else per_hour
     return sums.select(*_CATEGORY_HOUR, momentum.alias(f"category_momentum_{rows}h"))
 
 
@@ -249,14 +258,17 @@ def _priors(features: DataFrame, cells: DataFrame, means: bool, rates: bool) ->
     return _attach(with_hours, cells, by_weekday, "day_of_week") if by_weekday else with_hours
 
 
-def demand_priors(features: DataFrame) -> DataFrame:
-    """Mean demand and log count of ten groupings of the trainable fit rows."""
-    return _priors(features, _cells(features), means=True, rates=False)
+def demand_priors(features: DataFrame, cells: DataFrame | None = None) -> DataFrame:
+    """Mean demand and log count of ten groupings of the trainable fit rows.
+
+    ``cells`` are their sums where they are stored already (``hour_sums.fit_cells``).
+    """
+    return _priors(features, _cells(features) if cells is None else materialise(cells), means=True, rates=False)
 
 
-def stockout_priors(features: DataFrame) -> DataFrame:
+def stockout_priors(features: DataFrame, cells: DataFrame | None = None) -> DataFrame:
     """Share of stockout hours of three groupings, over all fit rows."""
-    return _priors(features, _cells(features), means=False, rates=True)
+    return _priors(features, _cells(features) if cells is None else materialise(cells), means=False, rates=True)
 
 
 def baseline_prior(with_priors: DataFrame) -> DataFrame:
@@ -304,9 +316,13 @@ def prepare_features(features: DataFrame, fraction: float = 0.15, advanced: bool
     return _enriched(parts, cells, by_store, by_category)
 
 
-def _enriched(parts: DataFrame, cells: DataFrame, by_store: DataFrame, by_category: DataFrame) -> DataFrame:
+def _enriched(
+    parts: DataFrame, cells: DataFrame, by_store: DataFrame, by_category: DataFrame, before: Boundary | None = None
+) -> DataFrame:
     """All inputs from rows with their parts, sums of their hours and the cells that priors are rolled up from."""
-    timed = promo_weather(cyclic_time(lags(parts)))
+    if before is not None:
+        by_store, by_category = before.store_hours(by_store), before.category_hours(by_category)
+    timed = promo_weather(cyclic_time(lags(parts) if before is None else before.lags(parts)))
     timed = join_history(timed, store_history(parts, by_store), _STORE_HOUR)
     timed = join_history(timed, category_history(parts, per_hour=by_category), _CATEGORY_HOUR)
     enriched = _priors(timed, cells, means=True, rates=True)
@@ -326,7 +342,7 @@ class Preparation:
 
     Stored beside a model it prepares rows of a new day without any train row. Priors, rates and
     the overall mean are all rolled up from the cells. Lags and histories look at the new rows alone,
-    as they do per split.
+    as they do per split, or also at the state that earlier dates of the split have left behind.
     """
 
     cells: DataFrame
@@ -343,8 +359,11 @@ class Preparation:
     def load(cls, spark: SparkSession, path: str) -> Preparation:
         return cls(spark.read.parquet(f"{path}/cells"))
 
-    def apply(self, features: DataFrame, part: str = EVAL) -> DataFrame:
-        """Rows of the hourly feature view with all inputs, as ``part``; equal to preparing them with the train rows."""
+    def apply(self, features: DataFrame, part: str = EVAL, before: Boundary | None = None) -> DataFrame:
+        """Rows of the hourly feature view with all inputs, as ``part``; equal to preparing them with the train rows.
+
+        ``before`` is the state after the dates ahead of the given ones, if their splits go on.
+        """
         rows = demand_target(features).withColumn("part", F.lit(part))
         sums = F.sum("observed_sales_amount").alias("_sales")
         new, by_store, by_category = grouped_once(rows, [_CELL, _STORE_HOUR, _CATEGORY_HOUR], [sums])
@@ -353,4 +372,4 @@ class Preparation:
         unknown = new.select(*_CELL, *none, F.lit(0).cast("long").alias("_count"), F.lit(0).cast("long").alias("_rows"))
         every = self.cells.unionByName(unknown).groupBy(*_CELL)
         cells = materialise(every.agg(*[F.sum(name).alias(name) for name in ("_sum", "_count", "_flagged", "_rows")]))
-        return _enriched(rows, cells, by_store, by_category)
+        return _enriched(rows, cells, by_store, by_category, before)

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from restock import schema as S
-from restock.operators import kpi, metric_documents
+from restock.operators import features, kpi, metric_documents
+from restock.operators.boundary import Boundary
+from restock.operators.demand import BASELINE_LEVELS
 from restock.plans.catalog import query, scratch
 from restock.plans.examples import ExampleWarehouse
 from restock.plans.jobs import import_job
@@ -174,6 +176,88 @@ def stored_reopened_reload(w):
     return sums.join(monitor, "full_date").join(hours, "full_date")
 
 
+def _rehoured(w: ExampleWarehouse) -> Warehouse:
+    """Sums by period stored, then four dates loaded again in a reopened warehouse: sales doubled, stockouts turned."""
+    if not hasattr(w, "rehoured_warehouse"):
+        stored = _new(w)
+        stored.load(w.observations)
+        stored.load_hourly()
+        stored.hour_sums  # noqa: B018 - stored by its first use
+        again = reopened(stored)
+        changed = w.observations.filter(F.col("dt").between(*RELOADED)).withColumns(
+            {
+                "hours_sale": F.transform("hours_sale", lambda sale: sale * 2),
+                "hours_stock_status": F.transform("hours_stock_status", lambda status: 1 - status),
+            }
+        )
+        again.load(changed)
+        again.load_hourly(*RELOADED)
+        w.rehoured_warehouse = again
+    return reopened(w.rehoured_warehouse)
+
+
+@query
+def stored_baselines(w):
+    """The averages of every cell after a reload, rolled up from stored sums of which the reload replaced one period."""
+    return _rehoured(w).baseline_cells.select(*BASELINE_LEVELS["store_product_hour_avg"], *BASELINE_LEVELS)
+
+
+def _last_fit(parts: DataFrame) -> date:
+    return parts.filter(F.col("part") == features.FIT).agg(F.max("full_date").alias("day")).first().day
+
+
+@query
+def stored_priors(w):
+    """Priors and stockout rates after a reload, from stored sums and the one period that the end of the fit part cuts."""
+    stored = _rehoured(w)
+    parts = features.temporal_holdout(stored.training_features)
+    cells = stored.prior_cells(_last_fit(parts))
+    priors = features.stockout_priors(features.demand_priors(parts, cells), cells)
+    means = [f"{group}_{kind}" for group in S.PRIOR_GROUPS for kind in ("mean", "count_log1p")]
+    return priors.select(*S.HOURLY_KEY, *means, *S.STOCKOUT_FEATURES)
+
+
+def _boundary(w: ExampleWarehouse, rows: DataFrame, *ends: date) -> Boundary:
+    """The state after the last of the dates, brought forward from one to the next and stored at each."""
+    folder = scratch(w, f"boundary-{uuid.uuid4().hex}")
+    state = None
+    for end in ends:
+        day = F.col("full_date")
+        if state is None:
+            found = Boundary.of(rows.filter(day <= F.lit(end)))
+        else:
+            found = state.advance(rows.filter((day > F.lit(start)) & (day <= F.lit(end))))
+        found.save(f"{folder}/{end}")
+        state, start = Boundary.load(w.spark, f"{folder}/{end}"), end
+    return state
+
+
+LAGGED = (date(2024, 1, 9), date(2024, 1, 10), date(2024, 1, 20))
+
+
+@query
+def stored_lags(w):
+    """Lags of the dates after a stored state, from these dates and the state alone."""
+    rows = w.training_features
+    state = _boundary(w, rows, *LAGGED)
+    lagged = state.lags(rows.filter(F.col("full_date") > F.lit(LAGGED[-1])))
+    return lagged.select(
+        *S.HOURLY_KEY, "product_sales_lag_1h", "product_sales_lag_24h_sum", "days_since_previous_sale"
+    )
+
+
+@query
+def prepare_features_continued(w):
+    """The calibration days as days that come in later: prepared with what the fit part has left behind, no row of it."""
+    rows = w.training_features
+    parts = features.prepare_features(rows)
+    last = _last_fit(features.temporal_holdout(rows))
+    state = features.Preparation.of(parts)
+    new = rows.filter((F.col("source_split") == "train") & (F.col("full_date") > F.lit(last)))
+    prepared = state.apply(new, features.CALIBRATION, _boundary(w, rows.filter("source_split = 'train'"), last))
+    return prepared.select(*S.HOURLY_KEY, "demand_target", *S.ADVANCED_FEATURES)
+
+
 @query
 def metrics_flatten_deep(w):
     rows = w.fact_hourly.groupBy("time_key").agg(F.count(F.lit(1)).alias("n"))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from restock import schema as S
-from restock.operators import decisions, demand, dims, facts, models
+from restock.operators import decisions, demand, dims, facts, hour_sums, models
 from restock.operators.merge import require_unique
 from restock.sources.tables import TableFolder
 
@@ -157,8 +157,32 @@ class Warehouse:
 
     @cached_property
     def baseline_cells(self) -> DataFrame:
-        """The averages behind the heuristic, written once for all views until hours or products change."""
-        return demand.baseline_cells(self.fact_hourly, self.dim_product)
+        """The averages behind the heuristic, rolled up once for all views until hours or products change."""
+        return demand.baseline_cells_of_sums(self.hour_sums, self.dim_product)
+
+    @cached_property
+    def hour_sums(self) -> DataFrame:
+        """Sums of the hourly fact by period. Periods that are not stored are summed up and stored first.
+
+        A reload of hours removes the periods of its dates ahead of its first write, so one that
+        breaks off leaves no sums behind that differ from the fact.
+        """
+        calendar = hour_sums.periods(self.dim_date)
+        loaded = {row.date_key for row in self.fact_hourly.select("date_key").distinct().collect()}
+        stored = set()
+        if self.tables.exists("hour_sums"):
+            stored = {row.period for row in self.tables.read("hour_sums", S.HOUR_SUMS).select("period").distinct().collect()}
+        missing = [keys for period, keys in calendar.items() if period not in stored and loaded.intersection(keys)]
+        if missing or not stored:
+            dates = [key for keys in missing for key in keys]
+            rows = hour_sums.hour_sums(self.fact_hourly.filter(F.col("date_key").isin(dates)), self.dim_date)
+            return self.tables.write(rows, "hour_sums", S.HOUR_SUMS, ("period",), ("store_key", "product_key"))
+        return self.tables.read("hour_sums", S.HOUR_SUMS)
+
+    def prior_cells(self, last_fit) -> DataFrame:
+        """The cells behind the priors of train hours up to a date, from the stored sums."""
+        places = self.dim_time, self.dim_store, self.dim_product
+        return hour_sums.fit_cells(self.hour_sums, self.fact_hourly, self.dim_date, *places, last_fit)
 
     @cached_property
     def hourly_demand_estimate(self) -> DataFrame:
@@ -232,8 +256,20 @@ class Warehouse:
         hours = facts.fact_hourly(
             self.observations, self.dim_date, self.dim_store, self.dim_product, start, end
         )
+        self._drop_sums(start, end)
         self._upsert("fact_hourly", hours, S.HOURLY_KEY)
 
+    def _drop_sums(self, start=None, end=None) -> None:
+        days = self.dim_date
+        if start is not None:
+            days = days.filter(F.col("full_date") >= F.lit(start))
+        if end is not None:
+            days = days.filter(F.col("full_date") <= F.lit(end))
+        if self.tables.exists("hour_sums"):
+            for period in hour_sums.periods(days):
+                self.tables.drop_partition("hour_sums", "period", period)
+        self._forget(["hour_sums"])
+
     def register_model(self, name: str, version: str, created_at, start=None, end=None) -> int:
         # Read anew: another session may have registered models since.
         self._forget(["dim_model"])
@@ -275,7 +311,8 @@ class Warehouse:
     def reset(self) -> None:
         """Empty all tables."""
         self.tables.truncate(SCHEMAS)
-        self._forget([*SCHEMAS, *VIEWS, "baseline_cells"])
+        self._forget([*SCHEMAS, *VIEWS, "baseline_cells", "hour_sums"])
+        self.tables.drop("hour_sums")
         for name in SCHEMAS:
             setattr(self, name, self.tables.read(name, SCHEMAS[name]))
         self.tables.truncate({"model_output": S.MODEL_OUTPUT})

@@ -158,6 +158,19 @@ RECOMMENDATION = _table(
 
 MODEL_OUTPUT = _table(model_key=_int, demand_estimate_rows=_long, recommendation_rows=_long)
 
+HOUR_SUMS = _table(
+    period=_int,
+    source_split=_string,
+    store_key=_int,
+    product_key=_int,
+    time_key=_int,
+    day_of_week=_int,
+    sold_sum=_double,
+    sold_count=_long,
+    flagged=_long,
+    hours=_long,
+)
+
 MODEL_EVALUATION = _table(
     model_key=_int,
     evaluation_split=_string,

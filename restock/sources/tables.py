@@ -97,6 +97,11 @@ class TableFolder:
         path = self._path(f"{self.location(name)}/{column}={value}")
         path.getFileSystem(self._hadoop_conf()).delete(path, True)
 
+    def drop(self, name: str) -> None:
+        """Remove a table that can be built again."""
+        path = self._path(self.location(name))
+        path.getFileSystem(self._hadoop_conf()).delete(path, True)
+
     def truncate(self, schemas: dict[str, StructType]) -> None:
         """Empty the named tables, keeping their columns."""
         for name, schema in schemas.items():
