@@ -3,8 +3,9 @@
 Each text gives five transformed statistics: word length, symbols, equal lines, repeated words and
 capitals, each smoothed so that short texts stay near the usual value. Location and scatter of a group
 are minimum-covariance-determinant estimates: from medians, the rows nearest by Mahalanobis distance
-(three quarters of the group) give new means and covariances, a few times over. Every such step is an
-aggregation of sums, so a group may be any share of the rows. A row far beyond its group is rejected.
+(three quarters of the group, by approximate quantiles) give new means and covariances, a few times over.
+Every such step is an aggregation of sums, and rows meet their estimates by broadcast or by salted keys, so a
+group may be any share of the rows. A row far beyond its group is rejected.
 
 Groups of fewer than ``LEAST_ROWS`` rows are pooled by language, and those again over all languages;
 if even these are too few, there is no verdict and their rows are kept.
@@ -46,6 +47,11 @@ def chi_square(normal_quantile: float, size: int = SIZE) -> float:
 CUT = chi_square(4.75)
 MEDIAN = chi_square(0.0)
 
+# One row per group, of some 300 bytes, is sent to every task up to this many groups.
+GROUPS = 10_000
+# Beyond it rows are joined by group and salt, so a group that holds a third of all rows is this many tasks.
+SALTS = 64
+
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -101,6 +107,18 @@ def _measure():
     return measure
 
 
+def beside(rows: DataFrame, groups: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """The rows with what is known of their group; ``groups`` holds one row a group and is written.
+
+    No group's rows meet in one task: few groups go to the rows, many are repeated for every salt. The rows
+    carry a written ``salt`` that does not depend on what they hold, so copies of one text are spread as well.
+    """
+    if groups.limit(GROUPS + 1).count() <= GROUPS:
+        return rows.join(F.broadcast(groups), keys, how)
+    each = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(each, [*keys, "salt"], how)
+
+
 def _grouped(measured: DataFrame) -> DataFrame:
     """Rows (lang_key, source_key, ...) with ``unit``, the group that judges them; null where there are too few."""
     sizes = measured.groupBy("lang_key", "source_key").agg(F.count(F.lit(1)).alias("n"))
@@ -111,7 +129,7 @@ def _grouped(measured: DataFrame) -> DataFrame:
     enough = rest.select(F.col("rest") >= LEAST_ROWS).scalar()
     unit = F.coalesce("own", F.when(F.col("pool") >= LEAST_ROWS, F.col("lang_key")), F.when(enough, F.lit("*")))
     units = sizes.join(pooled, "lang_key", "left").select("lang_key", "source_key", unit.alias("unit"))
-    return measured.join(units, ["lang_key", "source_key"])
+    return beside(measured, written(units), ["lang_key", "source_key"])
 
 
 def _key(name: str) -> Column:
@@ -150,7 +168,7 @@ def _start(rows: DataFrame) -> DataFrame:
     """Medians and spreads by absolute deviation of every statistic by itself."""
     median = lambda value: F.percentile_approx(value, 0.5, 1000)
     middles = rows.groupBy("unit").agg(F.array(*[median(F.col("x")[i]) for i in range(SIZE)]).alias("mean"))
-    apart = rows.join(middles, "unit")
+    apart = beside(rows, written(middles), ["unit"])
     spreads = [1.4826 * median(F.abs(F.col("x")[i] - F.col("mean")[i])) for i in range(SIZE)]
     found = apart.groupBy("unit").agg(F.first("mean").alias("mean"), F.array(*spreads).alias("spread"))
     inverse = [
@@ -163,9 +181,9 @@ def _start(rows: DataFrame) -> DataFrame:
 
 def _nearer(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     """One concentration step: new estimates from the nearest rows of every group."""
-    placed = rows.join(estimates, "unit").withColumn("d", _distance(F.col("x"), F.col("mean"), F.col("inverse")))
+    placed = beside(rows, estimates, ["unit"]).withColumn("d", _distance(F.col("x"), F.col("mean"), F.col("inverse")))
     limits = placed.groupBy("unit").agg(F.percentile_approx("d", NEAREST, 1000).alias("limit"))
-    near = placed.select("unit", "x", "d").join(limits, "unit").filter("d <= limit")
+    near = beside(placed.drop("mean", "inverse"), written(limits), ["unit"]).filter("d <= limit")
     x = F.col("x")
     products = [F.sum(x[i] * x[j]) for i in range(SIZE) for j in range(i, SIZE)]
     sums = near.groupBy("unit").agg(
@@ -177,16 +195,17 @@ def _nearer(rows: DataFrame, estimates: DataFrame) -> DataFrame:
 def judged(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, the counts, ``base_failed``, ``kept`` and ``distance`` (null without a verdict)."""
     found = docs.select("doc_id", _key("lang"), _key("source"), _measure()("text").alias("found"))
-    measured = written(found.select("doc_id", "lang_key", "source_key", "found.*"))
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("salt")
+    measured = written(found.select("doc_id", "lang_key", "source_key", "found.*", salt))
     rows = written(_grouped(measured))
-    sample = rows.filter("unit IS NOT NULL").select("unit", "x")
+    sample = rows.filter("unit IS NOT NULL").select("unit", "x", "salt")
     estimates = written(_start(sample))
     for _ in range(STEPS):
         estimates = written(_nearer(sample, estimates))
     far = _distance(F.col("x"), F.col("mean"), F.col("inverse"))
-    middle = sample.join(estimates, "unit").groupBy("unit").agg(F.percentile_approx(far, 0.5, 1000).alias("middle"))
-    wide = estimates.join(written(middle), "unit").withColumn("scale", F.greatest(F.col("middle") / MEDIAN, F.lit(1.0)))
+    middle = beside(sample, estimates, ["unit"]).groupBy("unit").agg(F.percentile_approx(far, 0.5, 1000).alias("middle"))
+    wide = written(estimates.join(middle, "unit").withColumn("scale", F.greatest(F.col("middle") / MEDIAN, F.lit(1.0))))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    found = rows.join(wide, "unit", "left").withColumn("distance", far / F.col("scale"))
+    found = beside(rows, wide, ["unit"], "left").withColumn("distance", far / F.col("scale"))
     kept = ~failed & F.coalesce(F.col("distance") <= CUT, F.lit(True))
     return found.select("doc_id", *COUNTS, failed.alias("base_failed"), kept.alias("kept"), "distance")

@@ -53,6 +53,18 @@ def test_outliers_go_and_others_stay(spark, tmp_path):
         assert row.kept == (row.doc_id % 20 != 0) and not row.base_failed
 
 
+def test_many_groups_are_joined_by_salted_keys_with_equal_results(spark, tmp_path, monkeypatch):
+    docs = corpus(spark, tmp_path)
+    few = sorted(map(str, qr.judged(docs).collect()))
+    monkeypatch.setattr(qr, "GROUPS", 2)
+    monkeypatch.setattr(qr, "SALTS", 7)
+    assert sorted(map(str, qr.judged(docs).collect())) == few
+    rows = spark.createDataFrame([("hot", i % 7) for i in range(500)] + [(None, 0)], "unit string, salt int")
+    groups = qr.written(spark.createDataFrame([(u, 1) for u in ("hot", "b", "c")], "unit string, n int"))
+    joined = qr.beside(rows, groups, ["unit"], "left")
+    assert joined.count() == 501 and joined.filter("n IS NULL").count() == 1
+
+
 def test_estimates_like_concentration_steps(spark):
     """The same steps with exact quantiles on one group."""
     rng = np.random.default_rng(2)
