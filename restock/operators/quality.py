@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from restock import schema as S
-from restock.session import materialise
 from restock.functions.hours import array_total, business_slice
 
 SUM_TOLERANCE = 0.000001
@@ -95,18 +94,14 @@ def _unique_rule(table: str, df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _reference_rules(table: str, df: DataFrame, parents: dict[str, DataFrame]) -> list[DataFrame]:
-    """Rows whose key a parent lacks, for all keys of a table in one scan.
+    """Rows whose key a parent lacks.
 
-    Rows are counted per value of each key first, so only values are joined.
+    Rows are counted per value of each key first, from a scan of that column alone, so only values are joined.
     """
-    keys = list(parents)
-    sets = df.groupingSets([[F.col(key)] for key in keys], *keys)
-    counted = materialise(sets.agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("count")))
     reports = []
-    for place, (key, parent) in enumerate(parents.items()):
-        # A bit is set for every key that a grouping set leaves out.
-        own = counted.filter(F.col("_set") == 2 ** len(keys) - 1 - 2 ** (len(keys) - 1 - place))
-        orphans = own.select(key, "count").join(parent.select(key).distinct(), key, "left_anti")
+    for key, parent in parents.items():
+        counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("count"))
+        orphans = counted.join(parent.select(key).distinct(), key, "left_anti")
         total = orphans.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("violations"))
         named = F.lit(table).alias("table_name"), F.lit(f"reference:{key}").alias("rule_name")
         reports.append(total.select(*named, "violations"))
