@@ -12,6 +12,7 @@ from restock.functions import scores
 from restock.functions.hours import hour_label, hour_ranges, is_business_hour
 from restock.functions.text import amount
 from restock.operators.demand import model_estimates
+from restock.session import never_broadcast
 
 DAY = ["full_date", "store_id", "product_id"]
 
@@ -45,7 +46,7 @@ def hourly_drilldown(
     date the scan of both facts by partition pruning.
     """
     named = _named(hourly, dates, stores, products)
-    joined = named.join(model_estimates(estimates, active), S.HOURLY_KEY, "left")
+    joined = named.join(never_broadcast(model_estimates(estimates, active)), S.HOURLY_KEY, "left")
     modelled, out = F.col("_has_model").isNotNull(), F.col("stockout_flag")
     basis = F.when(modelled, "model").when(out, "stockout").otherwise("observed")
     return joined.select(
@@ -183,7 +184,7 @@ TOTALS_TEXT = (
 
 def story_readout(drilldown: DataFrame, decisions: DataFrame) -> DataFrame:
     """What the hours of a day say, and which action they support."""
-    told = hourly_story(drilldown).join(stockout_hour_ranges(drilldown), DAY)
+    told = hourly_story(drilldown).join(never_broadcast(stockout_hour_ranges(drilldown)), DAY)
     readout = (
         F.when(F.col("stockout_hours") == 0, NO_STOCKOUT_TEXT)
         .when(F.col("lost_sales") <= 0, NOTHING_RECOVERED_TEXT)
@@ -191,6 +192,6 @@ def story_readout(drilldown: DataFrame, decisions: DataFrame) -> DataFrame:
     )
     label = scores.lookup(F.col("decision_action"), S.ACTION_LABELS)
     totals = [amount(F.col(name)) for name in ("observed_sales", "estimated_demand", "lost_sales")]
-    return told.join(decisions.select(*DAY, "decision_action"), DAY).select(
+    return told.join(never_broadcast(decisions.select(*DAY, "decision_action")), DAY).select(
         *DAY, readout.alias("readout"), F.format_string(TOTALS_TEXT, *totals, label).alias("explanation")
     )
