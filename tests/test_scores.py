@@ -7,6 +7,7 @@ from restock import schema as S
 from restock.functions import scores
 from restock.functions.hours import hour_ranges
 from restock.functions.text import amount, percent, percent_label, precise
+from restock.plans.catalog import published
 
 
 def value(spark, column):
@@ -55,3 +56,14 @@ def test_number_texts(spark):
 @pytest.mark.parametrize("hours, label", [(16, "critical"), (8, "critical"), (7, "high"), (3, "high"), (1, "watch"), (0, "normal")])
 def test_priority(spark, hours, label):
     assert value(spark, scores.restock_priority(F.lit(hours))) == label
+
+
+def test_published_rounds_like_round(spark):
+    """Odd values, ties and both signs come out as ``round`` gives them, to the last bit and without its decimal text."""
+    values = [None, 0.0, -0.0, float("nan"), float("inf"), -float("inf"), 1e5, -1e5, 1e300, -1e-300, -4e-7, -5e-7, 99999.9999995]
+    values += [sign * k * step for sign in (1, -1) for step in (5e-7, 0.125, 0.37, 1234.5678915) for k in range(200)]
+    rows = spark.createDataFrame([(value,) for value in values], "v double")
+    usual = F.round(F.col("v") + 1e-9, 6).cast("string")
+    both = published(rows.withColumn("usual", usual)).withColumn("own", F.col("v").cast("string"))
+    assert both.filter(~F.col("own").eqNullSafe(F.col("usual"))).collect() == []
+    assert "floor" in published(rows)._jdf.queryExecution().optimizedPlan().toString().lower()
