@@ -20,6 +20,11 @@ def test_scored_rows_are_not_broadcast(warehouse):
     assert not of_pairs(plan(warehouse._score(2, "eval")))
 
 
+@pytest.mark.parametrize("key", [1, 2])
+def test_train_rows_of_both_models_are_not_broadcast(warehouse, key):
+    assert not of_pairs(plan(warehouse._score(key, "train")))
+
+
 def test_observations_spread_their_days(spark, folder):
     events = spark.read.parquet(f"{folder}/events.parquet")
     assert not of_pairs(plan(fixtures.observations_from_events(events)))
