@@ -170,3 +170,42 @@ def test_unknown_options_are_refused():
     for wrong in ({"objective": "hinge"}, {"growth": "random"}, {"bins": 300}):
         with pytest.raises(ValueError):
             BoostingOptions(**wrong)
+
+
+def looked_up(tree, binned):
+    """The node of every row, one row and level at a time."""
+    found = []
+    for row in binned:
+        node = 0
+        while tree.feature[node] >= 0:
+            node = tree.left[node] if row[tree.feature[node]] <= tree.cut[node] else tree.right[node]
+        found.append(node)
+    return found
+
+
+@pytest.mark.parametrize("splits", [0, 1, 30, 200])
+def test_nodes_are_found_by_comparing_whole_inputs(splits):
+    """Trees of any shape, of more than 255 nodes too; rows of an input may lie together or apart."""
+    chance = np.random.default_rng(splits)
+    tree = Tree()
+    leaves = [tree.add(0.0)]
+    for _ in range(splits):
+        leaf = leaves.pop(chance.integers(len(leaves)))
+        leaves += tree.split(leaf, int(chance.integers(4)), int(chance.integers(255)), tuple(chance.normal(size=2)))
+    binned = chance.integers(0, 256, (500, 4)).astype(np.uint8)
+    expected = looked_up(tree, binned)
+    for layout in (binned, np.asfortranarray(binned), binned[:0]):
+        assert tree.nodes_of(layout).tolist() == expected[: len(layout)]
+        assert tree.values_of(layout).tolist() == [tree.value[node] for node in expected[: len(layout)]]
+
+
+def test_scans_pass_over_the_rows_of_an_input_in_place():
+    """Blocks keep every input's rows together, however they were cut."""
+    rows = boosting.BLOCK_ROWS + 5
+    binned = np.random.default_rng(5).integers(0, 9, (rows, 3)).astype(np.uint8)
+    numbers = [np.arange(rows) * 1.0, np.ones(rows), np.zeros(rows), np.arange(rows)]
+    read = list(boosting._rows(iter([boosting._blocks([binned, *numbers])]), 3))
+    assert all(part[0].flags.f_contiguous for part in read)
+    for i, whole in enumerate([binned, *numbers]):
+        assert (np.concatenate([part[i] for part in read]) == whole).all()
+    assert boosting.bins_of([np.array([0.5, 2.0])] * 2, [[1.0], [1.0, 1.5]]).flags.f_contiguous
