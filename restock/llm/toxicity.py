@@ -357,7 +357,7 @@ def lexicon_of(training: DataFrame, n_toxic: int, n_clean: int) -> dict[str, flo
         return rows.mapInPandas(_term_counts(wanted), "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
     toxic = written(counted(1, None).filter(F.col("n") >= least).withColumnRenamed("n", "toxic"))
-    wanted = Places(toxic.select(F.xxhash64("term").alias("code")), "code", PLACES)
+    wanted = Places.of(toxic.select(F.xxhash64("term").alias("code")), "code", PLACES)
     clean = counted(0, wanted).withColumnRenamed("n", "clean")
     both = toxic.join(clean, "term", "left").fillna({"clean": 0})
     total = F.col("toxic") + F.col("clean")
