@@ -102,10 +102,14 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return left.join(right, "key").filter(F.col("a") < F.col("b")).filter(~far).filter(near).select("a", "b")
 
 
+def words_near(fingerprint: Column) -> Column:
+    """The fingerprint and all words one bit away; two fingerprints share one exactly if at most two bits part them."""
+    return F.array(fingerprint, *[fingerprint.bitwiseXOR(F.lit(_signed(1 << bit)).cast("long")) for bit in range(64)])
+
+
 def _through_neighbours(fingerprints: DataFrame) -> DataFrame:
     """Links over words one bit away; exact for two bits, at most 65 fingerprints meet in a word."""
-    flips = [F.col("fp")] + [F.col("fp").bitwiseXOR(F.lit(_signed(1 << bit)).cast("long")) for bit in range(64)]
-    words = fingerprints.select("fp", F.explode(F.array(*flips)).alias("word"))
+    words = fingerprints.select("fp", F.explode(words_near(F.col("fp"))).alias("word"))
     least = words.groupBy("word").agg(F.min("fp").alias("a"), F.max("fp").alias("top")).filter("a < top")
     return words.join(least, "word").filter("fp > a").select("a", F.col("fp").alias("b"))
 

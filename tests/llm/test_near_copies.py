@@ -76,3 +76,33 @@ def test_linked_fingerprints_make_candidates(spark):
     rows = [(1, 0b0), (2, 0b11), (3, 0b1111), (4, -1), (5, -1), (6, 0b101010101 << 20)]
     found = near_copies.by_fingerprint(spark.createDataFrame(rows, "id long, fp long")).collect()
     assert sorted((row.a, row.b) for row in found) == [(1, 2), (1, 3), (4, 5)]
+
+
+def test_classes_of_one_fingerprint_all_meet(spark, tmp_path):
+    """Texts that one repeated passage gives one fingerprint, without any key: copies far from the least class link too."""
+    rng = random.Random(6)
+    passage = " ".join(f"p{i}" for i in range(11))
+    texts = []
+    for _ in range(6):
+        tail = [f"t{rng.random()}" for _ in range(60)]
+        texts += [f"{passage} " * 60 + " ".join(tail), f"{passage} " * 60 + " ".join([*tail[:-1], "other"])]
+    assert len({near_copies.fingerprint_of(text.encode(), 5) for text in texts}) == 1
+    kept = near_copies.keep_one(documents(spark, tmp_path, texts), bands=0).collect()
+    assert sorted(row.doc_id for row in kept) == slow_kept(texts) == list(range(0, 12, 2))
+
+
+def test_pairs_of_groups_at_most_two_bits_apart(spark):
+    rng = random.Random(7)
+    base = [rng.getrandbits(63) for _ in range(3)]
+    rows = [(i, rng.choice(base) ^ sum(1 << b for b in rng.sample(range(63), rng.randrange(4)))) for i in range(60)]
+    members = [(i, i % 4) for i, _ in rows if i % 5]
+    root = dict(members)
+    expected = {
+        (a, b, root.get(a, a), root.get(b, b))
+        for a, x in rows
+        for b, y in rows
+        if a < b and (x ^ y).bit_count() <= 2 and root.get(a, a) != root.get(b, b)
+    }
+    placed = near_copies.islands(spark.createDataFrame(rows, "id long, fp long"))
+    found = near_copies.apart(placed, spark.createDataFrame(members, "id long, root long"))
+    assert expected and sorted(map(tuple, found.select("a", "b", "root_a", "root_b").collect())) == sorted(expected)
