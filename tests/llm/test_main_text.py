@@ -70,6 +70,18 @@ def test_repeats_judge_open_blocks_beside_declared_content(spark, tmp_path):
     assert texts(spark, tmp_path, pages) == {i: f"teaser {i} {own[i]}" for i in range(12)}
 
 
+def test_declared_content_of_other_pages_is_a_repeat_beside_declared_content(spark, tmp_path):
+    """An unmarked list of other articles goes; a page that declares nothing keeps the article it shows again."""
+    rng = random.Random(8)
+    own = [words(rng, 40) for _ in range(6)]
+    starts = [" ".join(text.split()[:15]) for text in own]
+    body = "<article><p>{}</p></article><div>{}</div>"
+    pages = [(i, f"http://x.org/{i}", body.format(own[i], starts[i - 1])) for i in range(6)]
+    pages += [(6, "http://x.org/print/2", f"<div>{own[2]}</div>"), (7, "http://y.org/", body.format("alone", starts[0]))]
+    expected = {i: own[i] for i in range(6)} | {6: own[2], 7: f"alone {starts[0]}"}
+    assert texts(spark, tmp_path, pages) == expected
+
+
 def test_names_like_windows():
     rng = random.Random(4)
     tokens = [rng.choice("ab") for _ in range(300)]
