@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from restock import fixtures
+from restock import schema as S
 from restock.operators import features, merge
 from test_plans import plan
 
@@ -47,3 +48,21 @@ def test_a_long_history_is_not_broadcast(spark, warehouse, monkeypatch):
     monkeypatch.setattr(features, "HISTORY_ROWS", 10)
     text = plan(features.store_traffic(warehouse.training_features))
     assert not re.search(r"BroadcastHashJoin \[source_split", text)
+
+
+def test_days_of_a_longer_history_are_broadcast(warehouse, monkeypatch):
+    """With the hours of a day in one row five times the history is sent to the tasks, and nothing is shuffled by store."""
+    rows = warehouse.training_features
+    names = [*S.HOURLY_KEY, "store_traffic_lag_1h"]
+    whole = features.store_traffic(rows).select(*names)
+    monkeypatch.setattr(features, "HISTORY_ROWS", features.store_history(rows).count() - 1)
+    found = features.store_traffic(rows).select(*names)
+    assert re.search(r"BroadcastHashJoin \[source_split", plan(found))
+    assert found.exceptAll(whole).isEmpty() and whole.exceptAll(found).isEmpty()
+
+
+def test_wide_rows_are_shuffled_once(warehouse):
+    rows = features.prepare_features(warehouse.training_features)
+    shuffled = [line for line in plan(rows).splitlines() if "Exchange hashpartitioning" in line]
+    # The other one is that of the pairs with their priors.
+    assert sum("REPARTITION_BY_COL" in line for line in shuffled) == 1 and len(shuffled) == 2
