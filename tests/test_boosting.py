@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from restock.operators import boosting
 from restock.operators.boosting import BoostingOptions, Grower, Tree
+from restock.session import steps
 
 WHOLE = {"row_share": 1.0, "column_share": 1.0, "learning_rate": 1.0}
 
@@ -209,3 +210,12 @@ def test_scans_pass_over_the_rows_of_an_input_in_place():
     for i, whole in enumerate([binned, *numbers]):
         assert (np.concatenate([part[i] for part in read]) == whole).all()
     assert boosting.bins_of([np.array([0.5, 2.0])] * 2, [[1.0], [1.0, 1.5]]).flags.f_contiguous
+
+
+@pytest.mark.parametrize("label", [1.0, None])
+def test_a_fit_leaves_no_written_rows(spark, label):
+    rows = spark.createDataFrame([(float(i % 7), label) for i in range(300)], "x double, y double")
+    before, split = steps(spark), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    boosting.fit(rows, ["x"], F.col("y"), F.lit(1.0), BoostingOptions("squared", trees=12, depth=2))
+    assert steps(spark) == before
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == split
