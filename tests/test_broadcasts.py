@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as entry
 from restock import fixtures
 from restock import schema as S
-from restock.operators import features, merge
+from restock.operators import comparison, features, merge
 from test_plans import plan
 
 
@@ -66,3 +66,11 @@ def test_wide_rows_are_shuffled_once(warehouse):
     shuffled = [line for line in plan(rows).splitlines() if "Exchange hashpartitioning" in line]
     # The other one is that of the pairs with their priors.
     assert sum("REPARTITION_BY_COL" in line for line in shuffled) == 1 and len(shuffled) == 2
+
+
+def test_comparison_rows_are_shuffled_once(warehouse):
+    rows = comparison.latent_target(comparison.comparison_context(comparison.comparison_hourly(warehouse.observations)))
+    shuffled = [line for line in plan(rows).splitlines() if "Exchange hashpartitioning(store_id" in line]
+    assert sum("REPARTITION_BY_COL" in line for line in shuffled) == 1
+    # The other one is that of the baselines.
+    assert len(shuffled) == 2
